@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lookalike, packing, patterns, tokens
+from tidemark.llm import batches, lookalike, packing, patterns, tokens
 from tidemark.session import land, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,31 @@ WHERE value <> clean
 """
 
 
+# 6
+
+
+@query
+def p6_found(spark, sf):
+    return batches.repeats(batches.measure(table(spark, sf, "disclosures")))
+
+
+_P6_PARTS = r"(?:^|[^0-9])([0-9]{1,10})[^0-9A-Za-z]{1,3}([0-9]{1,2})[^0-9A-Za-z]{1,3}([0-9]{1,6})(?:[^0-9]|$)"
+ORACLE["p6_found"] = f"""
+WITH RECURSIVE t AS (SELECT seq, signal_type AS s, upper(trim(accession)) AS a,
+                            regexp_replace(regexp_replace(lower(id), '^\\s*[a-z0-9]+:', ''), '[^0-9a-f]', '', 'g') AS i,
+                            concat_ws('|', coalesce(cik::VARCHAR, '~'), coalesce(upper(trim(form)), '~'), coalesce(filed::VARCHAR, '~')) AS g
+                     FROM disclosures),
+     m AS (SELECT seq, s, i, g, CASE WHEN regexp_matches(a, '{_P6_PARTS}')
+                  THEN lpad(regexp_extract(a, '{_P6_PARTS}', 1), 10, '0') || lpad(regexp_extract(a, '{_P6_PARTS}', 2), 2, '0') || lpad(regexp_extract(a, '{_P6_PARTS}', 3), 6, '0')
+                  ELSE lpad(regexp_replace(a, '[^0-9]', '', 'g'), 18, '0') END AS n FROM t),
+     e AS (SELECT a.seq AS a, b.seq AS b FROM m a JOIN m b ON a.s = b.s AND a.n = b.n AND a.seq <> b.seq
+           UNION SELECT a.seq, b.seq FROM m a JOIN m b ON a.s = b.s AND a.i = b.i AND a.seq <> b.seq
+           UNION SELECT a.seq, b.seq FROM m a JOIN m b ON a.s = b.s AND a.g = b.g AND a.seq <> b.seq WHERE damerau_levenshtein(a.n, b.n) = 1),
+     r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT min(b) AS kept_seq, a AS dup_seq FROM r GROUP BY a HAVING min(b) < a
+"""
+
+
 # 7
 
 
