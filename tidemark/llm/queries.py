@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import batches, lookalike, packing, patterns, tokens
+from tidemark.llm import batches, canonical, lookalike, packing, patterns, resolve, tokens
 from tidemark.session import land, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,54 @@ WHERE value <> clean
 """
 
 
+# 4
+
+#: Other ways to write the three tiers.
+TIER_ALIASES = {"big_four": ["big 4", "big4", "b4", "big iv", "bigfour", "big_four"], "national": ["natl", "nat l", "nationwide", "nation wide"], "other": ["oth", "othr", "local"]}
+
+
+def _typed(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "disclosures").select("seq", "evidence.predecessor_auditor", "evidence.predecessor_tier", "evidence.successor_tier")
+    firms = canonical.read_list(table(spark, sf, "audit_firms"), "firm_code", "firm_name", "short_name")
+    tiers = canonical.read_list(table(spark, sf, "firm_tiers"), "tier_code", "tier_name", extra=TIER_ALIASES)
+    to_tier = lambda c: canonical.map_to_list(c, tiers, strict=False, threshold=1.0)
+    used = e.filter("predecessor_auditor is not null or predecessor_tier is not null or successor_tier is not null")
+    coded = used.select("seq", canonical.map_to_list("predecessor_auditor", firms).alias("a"), to_tier("predecessor_tier").alias("b"), to_tier("successor_tier").alias("c"))
+    return coded.select("seq", F.stack(F.lit(3), F.lit("predecessor_auditor"), "a", F.lit("predecessor_tier"), "b", F.lit("successor_tier"), "c").alias("field", "ref_code"))
+
+
+@query
+def p4_found(spark, sf):
+    return _typed(spark, sf).filter("ref_code is not null")
+
+
+@query
+def p4_unmatched(spark, sf):
+    """How many values of each field fit nothing on the lists."""
+    return _typed(spark, sf).filter("ref_code is not null").groupBy("field").agg(F.count(F.lit(1)).alias("typed"), F.count_if(F.col("ref_code") == canonical.UNMATCHED).alias("unmatched"))
+
+
+# 5
+
+
+def _resolved(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "disclosures").select("evidence.predecessor_auditor", "evidence.successor_auditor")
+    typed = e.select(F.stack(F.lit(2), F.col("predecessor_auditor"), F.col("successor_auditor")).alias("name"))
+    known = table(spark, sf, "audit_firms").select(F.col("firm_name").alias("name"), F.col("short_name").alias("alias"))
+    return resolve.resolve(typed, "name", known)
+
+
+@query
+def p5_found(spark, sf):
+    return resolve.pairs(_resolved(spark, sf))
+
+
+@query
+def p5_entities(spark, sf):
+    """Every spelling with the entity it names."""
+    return _resolved(spark, sf)
+
+
 # 6
 
 
