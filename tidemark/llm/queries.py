@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import batches, canonical, lookalike, packing, patterns, resolve, tokens
+from tidemark.llm import batches, canonical, lookalike, packing, patterns, resolve, tokens, truncation
 from tidemark.session import land, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,27 @@ WHERE value <> clean
 """
 
 
+# 3
+
+
+def _cut(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "disclosures").select("seq", F.col("evidence.source").alias("source"), "quote", F.col("evidence.why").alias("why"))
+    long = rows.select("seq", "source", F.stack(F.lit(2), F.lit("quote"), F.col("quote"), F.lit("why"), F.col("why")).alias("field", "value")).filter("trim(value) <> ''")
+    return truncation.find_cut(long, "field", "value")
+
+
+@query
+def p3_found(spark, sf):
+    return _cut(spark, sf).filter("cut").select("seq", "field")
+
+
+@query
+def p3_rates(spark, sf):
+    """How often each source cuts each field."""
+    by = _cut(spark, sf).groupBy("source", "field").agg(F.count(F.lit(1)).alias("filled"), F.count_if("cut").alias("cut"))
+    return by.withColumn("share", F.round(F.col("cut") / F.col("filled"), 6))
+
+
 # 4
 
 #: Other ways to write the three tiers.
