@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import batches, canonical, lookalike, packing, patterns, resolve, tokens, truncation
+from tidemark.llm import batches, canonical, lookalike, packing, patterns, resolve, subjects, tokens, truncation
 from tidemark.session import land, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,27 @@ def p8_fill(spark, sf):
     placed = packing.pack(_sizes(spark, sf), "doc_id", "n_tokens")
     boxes = placed.groupBy("container").agg(F.sum("size").alias("used"), F.first("certified").alias("certified"))
     return boxes.agg(F.count(F.lit(1)).alias("containers"), F.sum("used").alias("tokens"), F.round(F.sum("used") / (F.count(F.lit(1)) * packing.CAPACITY), 6).alias("fill"), F.count_if("certified").alias("certified"))
+
+
+# 9
+
+
+def _subject_model(spark: SparkSession, sf: str) -> subjects.Model:
+    docs = table(spark, sf, "documents").select("doc_id", F.col("accession").alias("key"), "text")
+    sections = table(spark, sf, "filings").select(F.col("accession").alias("key"), F.col("sic_desc").alias("section"))
+    codes = [r[0] for r in table(spark, sf, "subject_areas").select("subject_code").collect()]
+    return subjects.train(subjects.training_documents(docs, table(spark, sf, "doc_labels"), sections, codes), codes)
+
+
+@query
+def p9_found(spark, sf):
+    return subjects.assign(table(spark, sf, "documents"), _subject_model(spark, sf))
+
+
+@query
+def p9_mix(spark, sf):
+    """The mix of the corpus by subject: documents and characters of each; a document of several subjects counts for each."""
+    docs = table(spark, sf, "documents")
+    shared = spark.sparkContext.broadcast(_subject_model(spark, sf))
+    coded = docs.select("n_chars", F.explode(subjects.subjects_of("text", shared)).alias("subject_code"))
+    return coded.groupBy("subject_code").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_chars").alias("chars"))
