@@ -27,28 +27,54 @@ class Rows:
         lens = np.array([len(r) for r in rows], np.int64)
         return cls(np.concatenate(rows) if rows else np.zeros(0, np.int32), np.cumsum(lens))
 
+    def used(self) -> tuple[np.ndarray, np.ndarray]:
+        """The features that occur, and ``flat`` in places among them."""
+        if not hasattr(self, "_used"):
+            self._used = np.unique(self.flat, return_inverse=True)
+        return self._used
+
     def sums(self, w: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0.0], np.cumsum(w[self.flat], dtype=np.float64)])
-        starts = np.concatenate([[0], self.ends[:-1]])
-        return total[self.ends] - total[starts]
+        total = np.zeros(len(self.flat) + 1)
+        np.cumsum(w[self.flat], out=total[1:])
+        return np.diff(total[self.ends], prepend=0.0)
 
     def spread(self, per_row: np.ndarray, size: int) -> np.ndarray:
         lens = np.diff(np.concatenate([[0], self.ends]))
         return np.bincount(self.flat, np.repeat(per_row, lens), size)
 
 
-def fit(rows: Rows, target: np.ndarray, weight: np.ndarray, bits: int = BITS, steps: int = 60, rate: float = 0.5, ridge: float = 1e-6) -> tuple[np.ndarray, float]:
-    """Weights and bias for targets in [0, 1]; full-batch AdaGrad, so a run gives the same model again."""
-    size = 1 << bits
-    w, b = np.zeros(size), 0.0
-    seen, seen_b = np.full(size, 1e-8), 1e-8
-    total = max(weight.sum(), 1e-9)
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(rows.sums(w) + b, -30, 30)))
-        g = (p - target) * weight / total
-        grad, grad_b = rows.spread(g, size) + ridge * w, g.sum()
-        seen += grad * grad
-        seen_b += grad_b * grad_b
-        w -= rate * grad / np.sqrt(seen)
-        b -= rate * grad_b / np.sqrt(seen_b)
-    return w.astype(np.float32), float(b)
+class Trainer:
+    """Weights and bias of one classifier, moved by full-batch AdaGrad steps; a later call goes on from where the last ended.
+
+    Only the features that occur are held while training. Runs give the same model again.
+    """
+
+    def __init__(self, rows: Rows, weight: np.ndarray, bits: int = BITS, rate: float = 0.5, ridge: float = 1e-6):
+        self.used, flat = rows.used()
+        self.rows, self.size = Rows(flat, rows.ends), 1 << bits
+        self.share, self.rate, self.ridge = weight / max(weight.sum(), 1e-9), rate, ridge
+        self.w, self.b = np.zeros(len(self.used)), 0.0
+        self.seen, self.seen_b = np.full(len(self.used), 1e-8), 1e-8
+
+    def step(self, target: np.ndarray, steps: int) -> Trainer:
+        for _ in range(steps):
+            g = (1 / (1 + np.exp(-np.clip(self.odds(), -30, 30))) - target) * self.share
+            grad, grad_b = self.rows.spread(g, len(self.used)) + self.ridge * self.w, g.sum()
+            self.seen += grad * grad
+            self.seen_b += grad_b * grad_b
+            self.w -= self.rate * grad / np.sqrt(self.seen)
+            self.b -= self.rate * grad_b / np.sqrt(self.seen_b)
+        return self
+
+    def odds(self) -> np.ndarray:
+        return self.rows.sums(self.w) + self.b
+
+    def model(self) -> tuple[np.ndarray, float]:
+        w = np.zeros(self.size, np.float32)
+        w[self.used] = self.w
+        return w, float(self.b)
+
+
+def fit(rows: Rows, target: np.ndarray, weight: np.ndarray, bits: int = BITS, steps: int = 60) -> tuple[np.ndarray, float]:
+    """Weights and bias for targets in [0, 1]."""
+    return Trainer(rows, weight, bits).step(target, steps).model()

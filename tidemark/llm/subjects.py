@@ -40,7 +40,8 @@ ON_SUBJECT, RIGHT = 0.6, 0.9
 
 _break = re.compile(rf"(?<=[.!?])[\s{IGNORABLE}]+(?=\S)|\n+")
 _word = re.compile(r"[^\W\d_]+(?:[-’'][^\W\d_]+)*|0")
-_letters = re.compile(r"[^\W\d_]{2,}")
+_three_words = re.compile(r"(?:[^\W\d_]{2,}[\W\d_]+(?:[^\W\d_][\W\d_]+)*){2}[^\W\d_]{2}")
+_lower = re.compile(r"[a-zß-öø-ÿα-ωа-я]")
 _number = re.compile(r"\d[\d.,]*\d|\d")
 _month = re.compile(r"\b(january|february|march|april|may|june|july|august|september|october|november|december)\b")
 _furniture = re.compile(r"^\W*(part [ivx]+|item \w[\w.]*|exhibit [\w.]+|note \w+\W+[\w ]{0,40}|dear \w+:?|page \w+ of \w+)\W*$", re.I)
@@ -51,7 +52,7 @@ def sentences(text: str | None) -> list[str]:
     out = []
     for piece in _break.split(text or ""):
         piece = piece.strip()
-        if len(_letters.findall(piece)) >= 3 and any(c.islower() for c in piece) and not _furniture.match(piece):
+        if _three_words.search(piece) and _lower.search(piece) and not (len(piece) < 80 and _furniture.match(piece)):
             out.append(_month.sub("m", _number.sub("0", piece.lower())))
     return out
 
@@ -138,17 +139,20 @@ def _fit(docs: list[Doc], codes: list[str], turns: int, steps: int) -> tuple[np.
     sid_, prior_, weight_ = np.array(sid), np.array(prior), np.array(weight)
     rows = linear.Rows.of([features(s) for s in names])
     n = np.bincount(sid_, weight_, len(names))
-    target, fits = prior_, []
+    target = prior_
     none = np.maximum(1 - prior_.sum(1, keepdims=True), 0.35)
+    fits = [linear.Trainer(rows, n) for _ in codes]
     for turn in range(turns):
         y = np.stack([np.bincount(sid_, target[:, k] * weight_, len(names)) / n for k in range(k_all)], 1)
-        fits = [linear.fit(rows, y[:, k], n, steps=steps) for k in range(k_all)]
+        for k, f in enumerate(fits):
+            f.step(y[:, k], steps if turn == 0 else steps // 3)
         if turn + 1 < turns:
-            z = np.clip(np.stack([rows.sums(w) + b for w, b in fits], 1), -12, 12)
+            z = np.clip(np.stack([f.odds() for f in fits], 1), -12, 12)
             mean = np.clip((y * n[:, None]).sum(0) / n.sum(), 1e-4, 1 - 1e-4)
             share = prior_ * np.exp(z - np.log(mean / (1 - mean)))[sid_]
             target = share / (share.sum(1, keepdims=True) + none)
-    return np.stack([w for w, _ in fits], 1), np.array([b for _, b in fits])
+    models = [f.model() for f in fits]
+    return np.stack([w for w, _ in models], 1), np.array([b for _, b in models])
 
 
 def _calibrate(model: Model, docs: list[Doc]) -> None:
