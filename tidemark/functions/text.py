@@ -23,6 +23,11 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
+def strip(text: Column) -> Column:
+    """No blanks of any kind at the ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+
+
 def mask(text: Column, pattern: str) -> Column:
     """Every match replaced by as many blanks, so that positions stay."""
     clean = F.translate(text, _ON + _OFF, "  ")
@@ -89,13 +94,13 @@ def truncate_words(text: Column, limit: int) -> Column:
 
 def open_quote(text: Column) -> Column:
     """Without a leading note number; with a leading ellipsis unless it opens as a sentence does."""
-    t = F.regexp_replace(F.trim(text), "^\\d{1,3}\\s*[.:–—-]?\\s+(?=[A-Z“\"(])", "")
+    t = F.regexp_replace(strip(text), "^\\d{1,3}\\s*[.:–—-]?\\s+(?=[A-Z“\"(])", "")
     return F.when((t == "") | t.rlike("^[A-Z“(\"•…]"), t).otherwise(F.concat(F.lit("… "), t))
 
 
 def close_quote(text: Column) -> Column:
     """Without invisible characters; with a closing ellipsis unless it ends as a sentence does."""
-    t = F.trim(F.translate(text, "​‌‍﻿­", ""))
+    t = strip(F.translate(text, "​‌‍﻿­", ""))
     done = t.rlike("[.!?;:\"”’)\\]…]$")
     return F.when((t == "") | done, t).otherwise(F.concat(F.regexp_replace(t, "[ ,;:–—-]+$", ""), F.lit("…")))
 

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import percent
 
 
+def _within(first: Column, window_days: int):
+    return lambda d: (d > first) & (F.datediff(d, first) <= window_days)
+
+
 def follow_on(events: DataFrame, entity: str, kind: str, day: str, pairs: list[tuple[str, str]], window_days: int, as_of: Column) -> DataFrame:
     """(first, second, with_first, eligible, immature, followed, rate) for each ordered pair of kinds.
 
@@ -26,7 +30,7 @@ def follow_on(events: DataFrame, entity: str, kind: str, day: str, pairs: list[t
     for i, (a, b) in enumerate(pairs):
         first = F.array_min(slots[a])
         mature = F.datediff(as_of, first) >= window_days
-        hit = F.exists(slots[b], lambda d, first=first: (d > first) & (F.datediff(d, first) <= window_days))
+        hit = F.exists(slots[b], _within(first, window_days))
         rows.append(F.struct(F.lit(i).alias("pos"), F.lit(a).alias("first"), F.lit(b).alias("second"), first.isNotNull().alias("has"), mature.alias("mature"), hit.alias("hit")))
     flat = per.select(F.inline(F.array(*rows)))
     out = flat.groupBy("pos", "first", "second").agg(

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schema
 
 
+def _bare(form: Column) -> Column:
+    """Strips the characters of the amendment mark, not the suffix, as the published record does."""
+    return F.regexp_replace(F.upper(form), "[/A]+$", "")
+
+
+def _answers(report: str, days: int):
+    return lambda o: (_bare(o["form"]) == report) & F.datediff(o["day"], F.col("day")).between(0, days)
+
+
 def entity_sequences(events: DataFrame, entity: str = "cik", kind: str = "signal_type", day: str = "filed", filing: str = "accession", form: str = "form", order: str = "seq") -> DataFrame:
     """(entity, step, kind, day, filing, days_since_previous, steps, span_days), for entities of two steps or more.
 
@@ -22,11 +31,9 @@ def entity_sequences(events: DataFrame, entity: str = "cik", kind: str = "signal
     one = first.withColumn("r", F.row_number().over(by_filing)).filter("r = 1").drop("r")
     in_order = Window.partitionBy("entity").orderBy("day", "ord")
     later = F.collect_list(F.struct("day", "form")).over(in_order.rowsBetween(1, Window.unboundedFollowing))
-    bare = lambda c: F.regexp_replace(F.upper(c), "[/A]+$", "")  # noqa: E731 - strips the characters, not the suffix, as the record does
     answered = F.lit(False)
     for notice, (report, days) in schema.EXTENSION_WINDOWS.items():
-        hit = F.exists("later", lambda o, report=report, days=days: (bare(o["form"]) == report) & F.datediff(o["day"], F.col("day")).between(0, days))
-        answered = answered | ((bare(F.col("form")) == notice) & hit)
+        answered = answered | ((_bare(F.col("form")) == notice) & F.exists("later", _answers(report, days)))
     kept = one.withColumn("later", later).filter(~F.coalesce(answered, F.lit(False))).drop("later")
     whole = Window.partitionBy("entity")
     out = kept.select(
