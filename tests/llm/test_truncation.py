@@ -25,7 +25,7 @@ def test_held_out_accuracy(model):
 
 @pytest.mark.parametrize(
     "text",
-    ["The filer swapped its accounting firm.", "Does the amended report repeat it?", "The filer swapped its accounting firm.  \n", "The filer swapped its accounting firm.​", "The filer swapped its accounting firm. [2]", "The filer swapped its accounting firm.¹", "Critical Accounting Estimates", "The departure “is not the result of any quarrel.”", "It was sold to Galdiquin Co.", "PART III — NARRATIVE"],
+    ["The filer swapped its accounting firm.", "Does the amended report repeat it?", "The filer swapped its accounting firm.  \n", "The filer swapped its accounting firm.\u200b", "The filer swapped its accounting firm. [2]", "The filer swapped its accounting firm.¹", "Critical Accounting Estimates", "The departure “is not the result of any quarrel.”", "It was sold to Galdiquin Co.", "PART III — NARRATIVE"],
 )
 def test_whole(model, text):
     assert model.score(text) < 0
@@ -48,7 +48,7 @@ def test_random_cuts(model, rows):
 
 
 def test_edges(spark, model):
-    df = spark.createDataFrame([(1, "f", None), (2, "f", ""), (3, "f", "  "), (4, "f", "​"), (5, "f", "word " * 20_000), (6, "f", "Done.")], "seq int, field string, value string")
+    df = spark.createDataFrame([(1, "f", None), (2, "f", ""), (3, "f", "  "), (4, "f", "\u200b"), (5, "f", "word " * 20_000), (6, "f", "Done.")], "seq int, field string, value string")
     got = {r.seq: r.cut for r in truncation.find_cut(df, "field", "value", model).collect()}
     assert got == {1: False, 2: False, 3: False, 4: False, 5: True, 6: False}
     assert truncation.find_cut(df.limit(0), "field", "value").collect() == []

@@ -31,7 +31,7 @@ PIVOTS = tuple("".join(str(i * k % 10) for i in range(DIGITS)) for k in (0, 1, 3
 
 def canonical_number(value: Column) -> Column:
     """The 18 digits of an accession number however it is written; other text trimmed and in capitals; null for blank."""
-    text = F.upper(F.trim(F.regexp_replace(value, r"[\s  ]+", " ")))
+    text = F.upper(F.trim(F.regexp_replace(value, r"(?U)\s+", " ")))
     parts = r"(?<![0-9])([0-9]{1,10})[^0-9A-Za-z]{1,3}([0-9]{1,2})[^0-9A-Za-z]{1,3}([0-9]{1,6})(?![0-9])"
     dashed = F.concat(*[F.lpad(F.regexp_extract(text, parts, i + 1), n, "0") for i, n in enumerate((10, 2, 6))])
     digits = F.regexp_replace(F.regexp_replace(text, r"^.*/", ""), "[^0-9]", "")

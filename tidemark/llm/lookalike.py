@@ -23,11 +23,11 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 WIDE, JOINED, INVISIBLE, BLANK, ACCENT, MIXED = 1, 2, 4, 8, 16, 32
 
 #: The Default_Ignorable_Code_Point ranges of Unicode.
-IGNORABLE = "­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ￰-￸\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff"
+IGNORABLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\ufff0-\ufff8\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff"
 #: Blanks that are neither the plain one nor line breaks.
-BLANKS = "\t   -   　"
+BLANKS = "\t\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000"
 #: Combining accents, without the marks that other scripts are written with.
-ACCENTS = "̀-ͯ᪰-᫿᷀-᷿⃐-⃿"
+ACCENTS = "\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff"
 #: Letters of Cyrillic, Greek and Armenian beside the Latin letters they look like.
 CONFUSABLE = dict(
     zip(

@@ -80,7 +80,7 @@ class Model:
         return k if z[k] > self.cut[k] else -1
 
     def subjects(self, text: str | None, known: dict[str, int]) -> list[str] | None:
-        if text is None or not text.strip().strip("​﻿ "):
+        if text is None or not text.strip().strip("\u200b\ufeff "):
             return None
         counts = np.zeros(len(self.codes), np.int64)
         found = sentences(text)

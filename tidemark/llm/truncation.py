@@ -32,7 +32,7 @@ CUTS = 3
 #: What transfers and field limits leave behind a cut.
 REMAINS = ["", "", "", "", "…", " …", "...", " ...", " [cont", "[...]", "&am", "&nbs", "</p>", "<br", "�", '"', ")", "”", " ", "  ", "\n"]
 #: What may stand behind a whole sentence.
-MARKS = ["", "", "", " ", "  ", "\n", "​", "﻿", "\xa0", "¹", "²", "*", " †", "†", "[2]", " [3]", " (1)", "⁠ "]
+MARKS = ["", "", "", " ", "  ", "\n", "\u200b", "\ufeff", "\xa0", "¹", "²", "*", " †", "†", "[2]", " [3]", " (1)", "\u2060 "]
 
 _trail = re.compile(rf"[\s{IGNORABLE}]+$")
 _note = re.compile(r"(?<=[.?!”\"')’»])\s*(?:\[\d{1,3}\]|\(\d{1,3}\)|[*†‡§¶]{1,3}|[¹²³⁰⁴-⁹]{1,3})$")
