@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re as _re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -23,6 +24,11 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once: inside a higher-order function an expression would be worked out for every element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def strip(text: Column) -> Column:
     """No blanks of any kind at the ends."""
     return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
@@ -41,10 +47,15 @@ def mask(text: Column, pattern: str) -> Column:
 
 
 def last_match(text: Column, pattern: str) -> Column:
-    """Start of the last of the matches found from left to right, -1 without one."""
-    clean = F.translate(text, _ON, " ")
-    parts = F.split(F.regexp_replace(clean, pattern, f"{_ON}$0"), _ON)
-    return F.when(F.size(parts) > 1, F.length(clean) - F.length(F.element_at(parts, -1))).otherwise(F.lit(-1))
+    """Start of the last of the matches found from left to right, -1 without one; null for null."""
+
+    def place(marked: Column) -> Column:
+        at = F.length(marked) - F.instr(F.reverse(marked), _ON)  # marks stand before matches, one for each
+        marks = F.length(marked) - F.length(F.translate(marked, _ON, ""))
+        return F.when(marks > 0, at - marks + 1).otherwise(F.lit(-1))
+
+    marked = F.regexp_replace(F.translate(text, _ON, " "), pattern, f"{_ON}$0")
+    return let(marked, place)
 
 
 def sentences(text: Column) -> Column:
@@ -70,17 +81,32 @@ def normalise_for_diff(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(t, "[^a-z ]+", " "), " +", " "))
 
 
+def _runs(text: Column, size: int, of: Callable[[Column], Column], kind: str) -> Column:
+    def runs(words: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(words) - size + 1), lambda i: of(F.array_join(F.slice(words, i, size), " ")))
+        return F.when(F.size(words) >= size, F.array_distinct(each)).otherwise(F.array().cast(kind))
+
+    return let(F.split(text, " "), runs)
+
+
 def shingles(text: Column, size: int = 5) -> Column:
     """Distinct runs of ``size`` words; none for a shorter text."""
-    words = F.split(text, " ")
-    runs = F.transform(F.sequence(F.lit(1), F.size(words) - size + 1), lambda i: F.array_join(F.slice(words, i, size), " "))
-    return F.when(F.size(words) >= size, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+    return _runs(text, size, lambda run: run, "array<string>")
+
+
+def shingle_hashes(text: Column, size: int = 5) -> Column:
+    """The same as 64-bit hashes, which travel lighter."""
+    return _runs(text, size, F.xxhash64, "array<bigint>")
 
 
 def jaccard(a: Column, b: Column) -> Column:
     """Shared over all elements of two sets; 1 where either is empty, as nothing can be compared."""
-    both = F.size(F.array_intersect(a, b))
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(1.0)).otherwise(both / (F.size(a) + F.size(b) - both))
+
+    def share(s: Column) -> Column:
+        x, y = s["a"], s["b"]
+        return F.when((F.size(x) == 0) | (F.size(y) == 0), F.lit(1.0)).otherwise(let(F.size(F.array_intersect(x, y)), lambda both: both / (F.size(x) + F.size(y) - both)))
+
+    return let(F.struct(a.alias("a"), b.alias("b")), share)
 
 
 def truncate_words(text: Column, limit: int) -> Column:
@@ -100,22 +126,25 @@ def open_quote(text: Column) -> Column:
 
 def close_quote(text: Column) -> Column:
     """Without invisible characters; with a closing ellipsis unless it ends as a sentence does."""
-    t = strip(F.translate(text, "​‌‍﻿­", ""))
+    t = strip(F.translate(text, "\u200b\u200c\u200d\ufeff\u00ad", ""))
     done = t.rlike("[.!?;:\"”’)\\]…]$")
     return F.when((t == "") | done, t).otherwise(F.concat(F.regexp_replace(t, "[ ,;:–—-]+$", ""), F.lit("…")))
 
 
-def novel_sentences(current: Column, prior_shingles: Column, least: int = 60, most: int = 3, longest: int = 320) -> Column:
-    """The first sentences of ``current`` that share no shingle with the prior text, as quotes."""
-    parts = F.split(current, r"(?<=[.;])\s+")
-    whole = F.when(current.rlike(r"[.;!?]\s*$"), parts).otherwise(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))))
+def novel_sentences(current: Column, prior: Column, least: int = 60, most: int = 3, longest: int = 320) -> Column:
+    """The first sentences of ``current`` that share no run of words with ``prior`` (its ``shingle_hashes``), as quotes."""
+
+    def fresh(s: Column, old: Column) -> Column:
+        runs = shingle_hashes(normalise_for_diff(s))
+        return (F.length(s) >= least) & s.rlike("^[\\p{Lu}“(\"]") & let(runs, lambda r: (F.size(r) > 0) & ~F.arrays_overlap(r, old))
 
-    def novel(s: Column) -> Column:
-        sh = shingles(normalise_for_diff(s))
-        return (F.length(s) >= least) & s.rlike("^[\\p{Lu}“(\"]") & (F.size(sh) > 0) & ~F.arrays_overlap(sh, prior_shingles)
+    def pick(both: Column) -> Column:
+        parts = F.split(both["text"], r"(?<=[.;])\s+")
+        whole = F.when(both["text"].rlike(r"[.;!?]\s*$"), parts).otherwise(let(parts, lambda p: F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0)))))
+        kept = F.slice(F.filter(F.transform(whole, F.trim), lambda s: fresh(s, both["old"])), 1, most)
+        return F.transform(kept, lambda s: open_quote(close_quote(truncate_words(s, longest))))
 
-    kept = F.slice(F.filter(F.transform(whole, lambda s: F.trim(s)), novel), 1, most)
-    return F.transform(kept, lambda s: open_quote(close_quote(truncate_words(s, longest))))
+    return let(F.struct(current.alias("text"), prior.alias("old")), pick)
 
 
 def looks_like_heading(line: Column) -> Column:
@@ -156,7 +185,7 @@ def html_blocks(raw: Column) -> Column:
 
 def tidy_lines(text: Column) -> Column:
     """Blanks inside lines to one, empty lines dropped, none at the ends."""
-    t = F.regexp_replace(F.translate(text, " ", " "), r"[ \t\r\f\x0B]+", " ")
+    t = F.regexp_replace(F.translate(text, "\u00a0", " "), r"[ \t\r\f\x0B]+", " ")
     return F.trim(F.regexp_replace(F.regexp_replace(t, r" ?\n[ \n]*", "\n"), r"^\n|\n$", ""))
 
 

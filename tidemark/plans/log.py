@@ -463,3 +463,18 @@ SELECT seq FROM disclosures WHERE (signal_type = 'going_concern' AND (regexp_mat
 def contradictory_quotes(spark, sf):
     """Rows whose own quote says the opposite of their signal."""
     return _log(spark, sf).filter(quality.contradicts(F.col("signal_type"), F.col("quote"))).select("seq")
+
+
+@query("SELECT DISTINCT id FROM disclosures WHERE id NOT IN (SELECT event_id FROM tombstones WHERE action = 'withdraw' AND event_id IS NOT NULL)")
+def stream_dedupe(spark, sf):
+    """The log as a stream from a landing folder builds it: every id once, however often and late it lands."""
+    import uuid
+
+    from tidemark.session import shared_dir
+    from tidemark.streaming.log import keep_log
+
+    e = _log(spark, sf).select("id", "seq", "signal_type", "filed")
+    where = f"{shared_dir(spark)}/tidemark-stream-{uuid.uuid4().hex}"
+    e.write.parquet(f"{where}/landing")
+    keep_log(spark, f"{where}/landing", f"{where}/log", f"{where}/checkpoint", e.schema, table(spark, sf, "tombstones"))
+    return spark.read.schema(e.schema).parquet(f"{where}/log").select("id")
