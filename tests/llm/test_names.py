@@ -17,6 +17,8 @@ SAME = [
     ("Gostastein Esklelhurst Nossantine LLP", "Ｇostastein Esklelhurst\u00a0Nossantine (US) LLP"),
     ("William C. Varnumere, CPA", "Bill Varnumere"),
     ("William C. Varnumere, CPA", "Varnumere William, C.P.A."),
+    ("Michael R. Dornidstein, CPA", "M.R. Dornidstein, Certified Public Accountant"),
+    ("Sarah C. Ruskerland, C.P.A.", "S.C. Ruskerland, Certified Public Accountant"),
     ("Anthony K. Yarlindrick, CPA", "A.K. Yarlindrick, Certified Public Accountant"),
 ]
 DIFFERENT = [

@@ -23,6 +23,7 @@ from pyspark.sql.types import StringType
 
 from tidemark.llm import names
 from tidemark.llm.lookalike import consistent
+from tidemark.session import arrow
 
 UNMATCHED = "unmatched"
 #: A reference list beyond this many rows is refused: it would not be a list to send to every worker.
@@ -141,7 +142,7 @@ def map_to_list(value: Column | str, entries: list[Entry], strict: bool = True,
     """The code of the entry a value means, ``unmatched``, or null for a null or blank value."""
     name = f"{strict}{threshold}{entries!r}"
 
-    @F.arrow_udf(StringType())
+    @arrow(StringType())
     def to_code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if name not in _MATCHERS:
             _MATCHERS[name] = Matcher(entries, strict, threshold)

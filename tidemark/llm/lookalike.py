@@ -19,6 +19,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from tidemark.session import arrow
+
 #: Bits of ``changes``.
 WIDE, JOINED, INVISIBLE, BLANK, ACCENT, MIXED = 1, 2, 4, 8, 16, 32
 
@@ -89,13 +91,16 @@ def consistent(value: str) -> tuple[str, int]:
 RESULT = StructType([StructField("form", StringType()), StructField("changes", IntegerType())])
 
 
-@F.arrow_udf(RESULT)
-def _consistent(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
-        coded = batch.dictionary_encode()
-        done = [consistent(v) for v in coded.dictionary.to_pylist()]
-        table = pa.StructArray.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int32())], ["form", "changes"])
-        yield table.take(coded.indices)
+def _hard(value: Column) -> Column:
+    @arrow(RESULT)
+    def forms(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            coded = batch.dictionary_encode()
+            done = [consistent(v) for v in coded.dictionary.to_pylist()]
+            table = pa.StructArray.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int32())], ["form", "changes"])
+            yield table.take(coded.indices)
+
+    return forms(value)
 
 
 def needs_work(value: Column) -> Column:
@@ -106,6 +111,6 @@ def needs_work(value: Column) -> Column:
 def consistent_form(value: Column | str) -> Column:
     """struct<form, changes> of a text column; null for null."""
     value = F.col(value) if isinstance(value, str) else value
-    hard = _consistent(F.when(needs_work(value), value))
+    hard = _hard(F.when(needs_work(value), value))
     plain = F.struct(F.lower(F.trim(F.regexp_replace(value, r"\s+", " "))).alias("form"), F.lit(0).alias("changes"))
     return F.when(value.isNull(), F.lit(None).cast(RESULT)).when(needs_work(value), hard).otherwise(plain)

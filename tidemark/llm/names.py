@@ -41,9 +41,14 @@ _former = re.compile(r"\(\s*(?:formerly|f/k/a|fka)\s+([^)]*)\)")
 _aside = re.compile(r"\([^)]*\)")
 
 
+#: Legal forms that are written with dots.
+_LEGAL = frozenset("llp lllp llc lp pllc pc pa sc cpa ca usa us".split())
+
+
 def _undot(match: re.Match) -> str:
+    """A dotted run is a legal form where it is one and does not open the name; otherwise it is initials."""
     letters = match.group().replace(".", "")
-    return f" {letters} " if letters in FORMS else " " + " ".join(letters) + " "
+    return f" {letters} " if match.start() > 0 and letters in _LEGAL else " " + " ".join(letters) + " "
 
 
 @lru_cache(maxsize=50_000)

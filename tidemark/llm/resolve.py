@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, S
 
 from tidemark.llm import names
 from tidemark.operators.components import components
-from tidemark.session import land
+from tidemark.session import arrow, land
 
 ROUNDS = 10
 
@@ -31,7 +31,7 @@ _PROFILE = StructType([StructField("tokens", ArrayType(StringType())), StructFie
 def profile_of(name: Column | str) -> Column:
     """struct<tokens, acronym, filler, initials> of a name."""
 
-    @F.arrow_udf(_PROFILE)
+    @arrow(_PROFILE)
     def profile(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             out = []
@@ -45,7 +45,7 @@ def profile_of(name: Column | str) -> Column:
 
 
 def _keys(tokens: Column | str) -> Column:
-    @F.arrow_udf(ArrayType(StringType()))
+    @arrow(ArrayType(StringType()))
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array([sorted(names.block_keys(tuple(v))) for v in batch.to_pylist()], pa.list_(pa.string()))
@@ -54,7 +54,7 @@ def _keys(tokens: Column | str) -> Column:
 
 
 def _same(a: Column | str, b: Column | str) -> Column:
-    @F.arrow_udf(BooleanType())
+    @arrow(BooleanType())
     def same(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for left, right in batches:
             yield pa.array([names.same_name(tuple(x.split()), tuple(y.split())) for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True)], pa.bool_())

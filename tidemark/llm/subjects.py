@@ -29,6 +29,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from tidemark.llm import linear
 from tidemark.llm.lookalike import IGNORABLE
+from tidemark.session import arrow
 
 #: Documents to train on: with labels, and with section metadata only.
 LABELLED, WEAK = 8_000, 8_000
@@ -217,7 +218,7 @@ def training_documents(docs: DataFrame, labels: DataFrame, sections: DataFrame,
 def subjects_of(text: Column | str, broadcast) -> Column:
     """array<string>: the subjects of a text; null for null, empty and blank texts."""
 
-    @F.arrow_udf(ArrayType(StringType()))
+    @arrow(ArrayType(StringType()))
     def subjects(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, known = broadcast.value, {}
         for batch in batches:

@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import arrow
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 #: Fixed value: the published split pattern of the vocabulary.
@@ -138,7 +140,7 @@ def token_ids(spark: SparkSession, text: Column | str, vocabulary: str = VOCABUL
     """array<int>: the ids of a text; empty for null and empty texts."""
     shared = _vocabulary(spark, vocabulary)
 
-    @F.arrow_udf("array<int>")
+    @arrow("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = _encoder(shared).encode
         for batch in batches:
@@ -157,7 +159,7 @@ def token_count(spark: SparkSession, text: Column | str, vocabulary: str = VOCAB
     """int: how many ids a text has; 0 for null and empty texts."""
     shared = _vocabulary(spark, vocabulary)
 
-    @F.arrow_udf("int")
+    @arrow("int")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = _encoder(shared).encode
         for batch in batches:

@@ -25,6 +25,7 @@ from pyspark.sql.types import DoubleType
 
 from tidemark.llm import linear
 from tidemark.llm.lookalike import IGNORABLE
+from tidemark.session import arrow
 
 #: Distinct values of each field to train on.
 SAMPLE = 8_000
@@ -188,7 +189,7 @@ def train_on(rows: DataFrame, field: str, value: str, sample: int = SAMPLE) -> M
 
 def cut_score(value: Column | str, broadcast) -> Column:
     """double: over 0 for a cut value, under 0 for an intact one; null for null."""
-    @F.arrow_udf(DoubleType())
+    @arrow(DoubleType())
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of = broadcast.value.score
         for batch in batches:
