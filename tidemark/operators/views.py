@@ -143,8 +143,10 @@ def same_day_notices(late: DataFrame) -> DataFrame:
     (cik, filed, seq, filings_in_batch, other_forms, headline)
     """
     lead = F.struct(severity_first().alias("s"), F.col("form").alias("form"), F.col("seq").alias("seq"), F.col("company").alias("company"), F.col("headline").alias("headline"))
-    g = late.groupBy("cik", "filed").agg(F.min(lead).alias("lead"), F.count(F.lit(1)).alias("n"), F.map_from_entries(F.collect_set(F.struct("form", F.lit(1)))).alias("forms"), F.collect_list("form").alias("all_forms"))
-    others = F.array_sort(F.array_distinct(F.filter("all_forms", lambda f: (f != F.col("lead.form")) | (F.size(F.filter("all_forms", lambda x: x == F.col("lead.form"))) > 1))))
+    # counted by form first, so that what is gathered for a day is bounded by the forms there are
+    by_form = late.groupBy("cik", "filed", "form").agg(F.min(lead).alias("lead"), F.count(F.lit(1)).alias("n"))
+    g = by_form.groupBy("cik", "filed").agg(F.min("lead").alias("lead"), F.sum("n").alias("n"), F.collect_list(F.struct("form", "n")).alias("forms"))
+    others = F.array_sort(F.transform(F.filter("forms", lambda f: (f["form"] != F.col("lead.form")) | (f["n"] > 1)), lambda f: f["form"]))
     # fixed value: the headline of several notices in one
     many = F.concat(F.col("lead.company"), F.lit(" told the SEC it could not file "), F.col("n").cast("string"), F.lit(" periodic reports on time"))
     return g.select("cik", "filed", F.col("lead.seq").alias("seq"), F.col("n").alias("filings_in_batch"), F.when(F.col("n") > 1, F.array_join(others, ",")).otherwise("").alias("other_forms"), F.when(F.col("n") > 1, many).otherwise(F.col("lead.headline")).alias("headline"))

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings for a session of our own; a session handed in from outside is left as it is.
 DEFAULTS = {
@@ -32,12 +35,44 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int | None = None, *
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application: their Python need not have it installed.
+
+    The archive is made beside the driver, and Spark's own file service hands it out.
+    """
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(__file__))
+    if sc.applicationId in _SHIPPED or not os.path.isdir(root):
+        return
+    _SHIPPED.add(sc.applicationId)
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-package-"), "tidemark_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+
+
+def arrow(kind):
+    """An Arrow function whose workers can import this package."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship(spark)
+    return F.arrow_udf(kind)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session; one of our own only where that is unset."""
+    ship(spark)
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
