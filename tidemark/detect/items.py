@@ -134,3 +134,62 @@ def business_replaced(renamed: Column, current: Column, prior: Column) -> Column
     """A rename together with a reverse acquisition that the report before did not tell of."""
     told = lambda c: F.coalesce(c.rlike(FLAGS + r"\breverse\s+(?:acquisition|merger|recapitali[sz]ation)\b"), F.lit(False))
     return renamed & told(current) & ~told(prior)
+
+
+def tier_downgrade(before: Column, after: Column) -> Column:
+    """Whether a firm of a lower tier follows; null where either is unknown."""
+    rank = lambda t: F.when(t == "big_four", 3).when(t == "national", 2).when(t == "other", 1)
+    return rank(after) < rank(before)
+
+
+def auditor_severity(direction: Column, quarrel: Column, downgrade: Column) -> Column:
+    """high for a resignation, a withdrawal, a disagreement or a fall in tier; elevated for a refusal to stand again; else normal."""
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    return F.when(direction.isin("resigned", "withdrawn") | yes(quarrel) | yes(downgrade), "high").when(direction == "declined", "elevated").otherwise("normal")
+
+
+def only_the_letter(explanation: Column) -> Column:
+    """An amendment that merely files the former accountant's letter or a signature adds nothing to what it amends."""
+    letter = explanation.rlike(FLAGS + r"\b(?:solely|only)\b[^.]{0,160}?\b(?:exhibit\s+16(?:\.1)?|letter\s+from)\b|\bsole\s+purpose\b[^.]{0,160}?\b(?:exhibit\s+16(?:\.1)?|letter)\b")
+    signature = explanation.rlike(FLAGS + r"\b(?:solely|only|sole\s+purpose)\b[^.]{0,160}?\bsignature\b")
+    return F.coalesce(letter | signature, F.lit(False))
+
+
+def admits_letter(body: Column, staff: Column) -> Column:
+    """Long enough, and a staff letter comments or a company's letter answers."""
+    comments = body.rlike(FLAGS + r"\b(?:we\s+have\s+(?:reviewed|the\s+following\s+comments?)|please\s+(?:tell|explain|revise|clarify)|our\s+comments?)\b")
+    answers = body.rlike(FLAGS + r"\b(?:in\s+response\s+to|respond(?:s|ed)?\s+(?:as\s+follows|to)|response:)\b")
+    return F.coalesce((F.length(body) >= 400) & F.when(staff, comments).otherwise(answers), F.lit(False))
+
+
+def first_comment(body: Column, longest: int = 420) -> Column:
+    """The first question of a letter: what follows the salutation and the customary opening, to a word before the limit."""
+    from tidemark.functions.text import close_quote, truncate_words
+
+    after = F.regexp_replace(body, r"(?is)^.*?\bdear\b[^:\n]{0,80}:\s*", "")
+    plain = collapse(F.regexp_replace(after, r"(?i)\bpage\s+\d+\b|(?:^|(?<=[.?!]\s))\d{1,2}\.\s+(?=[A-Z])", " "))
+    own = F.filter(F.split(plain, r"(?<=[.?!])\s+(?=\p{Lu})"), lambda s: ~s.rlike(FLAGS + r"^we\s+have\s+reviewed|^please\s+respond\b|^after\s+reviewing|^if\s+you\s+do\s+not\s+believe|\bten\s+business\s+days\b|^sincerely") & (F.length(s) >= 30))
+    return close_quote(truncate_words(F.array_join(own, " "), longest))
+
+
+#: What the item codes are called.
+ITEM_TITLES = {"4.01": "Change of certifying accountant", "4.02": "Earlier statements not to be relied on", "5.02": "Departure of officers"}
+
+
+def item_events(filings):
+    """One event for each filing and signal that its item codes name: (seq, id, signal_type, item_code, item_title, confidence, headline).
+
+    ``filings`` is the day index with ``seq``; a filing listed twice gives its events once, from the first listing.
+    """
+    from tidemark import schema
+    from tidemark.functions.scalars import event_id
+
+    code = F.trim("code")
+    named = F.when(F.lit(False), "")
+    title = F.when(F.lit(False), "")
+    for c, s in schema.ITEM_SIGNALS.items():
+        named, title = named.when(code == c, s), title.when(code == c, ITEM_TITLES[c])
+    one = filings.filter(F.upper(F.trim("form")).isin(*schema.EVENT_FORMS)).select("seq", "accession", "company", F.explode(F.array_distinct(F.transform("items", lambda i: F.trim(i)))).alias("code"))
+    found = one.select("seq", "accession", "company", code.alias("item_code"), named.alias("signal_type"), title.alias("item_title")).filter("signal_type is not null and accession is not null")
+    first = found.groupBy("accession", "signal_type").agg(F.min(F.struct("seq", "item_code", "item_title", "company")).alias("f"))
+    return first.select(F.col("f.seq").alias("seq"), event_id(F.col("accession"), F.col("signal_type")).alias("id"), "signal_type", F.col("f.item_code").alias("item_code"), F.col("f.item_title").alias("item_title"), F.lit("confirmed").alias("confidence"))

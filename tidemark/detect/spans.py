@@ -97,3 +97,64 @@ def outgoing_firm(text: Column | str) -> Column:
 
 def incoming_firm(text: Column | str) -> Column:
     return _by_value(text, lambda v: firm_after(v, r"engaged|appointed|retained|selected|engagement of(?! its)"))
+
+
+_RISK = r"(?im)^\W*(?:item\s+1a\W+)?risk\s+factors\W*$"
+_NEXT_ITEM = r"(?im)^\W*item\s+\d+[a-c]?\b"
+
+
+def without_risk_factors(text: str) -> tuple[str, str]:
+    """(the text without its risk factors, the risk factors)."""
+    m = re.search(_RISK, text)
+    if not m:
+        return text, ""
+    end = re.search(_NEXT_ITEM, text[m.end() : m.end() + 250_000])
+    stop = m.end() + (end.start() if end else min(len(text) - m.end(), 250_000))
+    return text[: m.start()] + text[stop:], text[m.end() : stop]
+
+
+def concern_passage(text: Column | str) -> Column:
+    """The passage that a going-concern reading should use: the note, else the text without risk factors where it speaks of doubt, else "risk" before the risk factors that do."""
+    speaks = re.compile(r"(?i)substantial\s+doubt[^.!?;]{0,200}?(?:going\s+concern|ability\s+to\s+continue)|(?:going\s+concern|ability\s+to\s+continue)[^.!?;]{0,200}?substantial\s+doubt")
+
+    def of(v: str) -> str:
+        note = find_note(v, "going concern", r"substantial\s+doubt|going\s+concern")
+        if note:
+            return note
+        body, risk = without_risk_factors(v)
+        if speaks.search(body):
+            return body
+        return "\u0000risk" if speaks.search(risk) else ""
+
+    return _by_value(text, of)
+
+
+def document_concern(text: Column) -> Column:
+    """The going-concern state of a whole document; risk_factor_only where nothing but the risk factors speak of it."""
+    from tidemark.detect.conclusions import going_concern
+
+    passage = concern_passage(text)
+    return F.when(passage == "\u0000risk", "risk_factor_only").otherwise(going_concern(passage))
+
+
+def revenue_note(text: Column | str) -> Column:
+    """The revenue policy note: of the notes under a revenue heading, outside the discussion and the audit report, the one with most marks."""
+    from tidemark.detect.conclusions import REVENUE_MARKERS
+
+    marks = [re.compile(m, re.I) for m in REVENUE_MARKERS]
+
+    def of(v: str) -> str:
+        best, score = "", (2, 0)
+        shut = [m.span() for p, n in ((r"Management[\u2019']s\s+Discussion\s+and\s+Analysis", 80_000), (r"Report\s+of\s+Independent\s+Registered", 25_000)) for m in re.finditer(rf"(?is)^{p}.{{0,{n}}}?(?=^\s*item\s+\d|\Z)", v, re.M)]
+        for m in re.finditer(r"(?im)^.*revenue\s+(?:from\s+contracts|recognition).*$|^.*disaggregation\s+of\s+revenue.*$", v):
+            if not is_heading(m.group()) or any(a <= m.start() < b for a, b in shut):
+                continue
+            body = v[m.end() : m.end() + 20_000]
+            end = re.search(r"(?m)^\s*(?:note\s+)?\d{1,2}\s*[.:\u2013\u2014-]\s+[A-Z]", body)
+            body = (body[: end.start()] if end else body).strip()
+            got = (sum(bool(k.search(body)) for k in marks), len(body))
+            if len(body) >= 400 and got > score and got[0] >= 3:
+                best, score = body, got
+        return best
+
+    return _by_value(text, of)

@@ -129,3 +129,15 @@ def money(n: Column) -> Column:
 
 def rfc822(day: Column) -> Column:
     return F.date_format(day, "EEE, dd MMM yyyy '00:00:00 +0000'")
+
+
+def verified_tier(public_float: Column, own_assets: Column) -> Column:
+    """The tier; the two upper ones only where the value is at most a hundred times the company's own assets (unknown assets pass)."""
+    tier = size_tier(public_float)
+    doubtful = tier.isin("mega", "large") & F.coalesce((own_assets > 0) & (public_float > own_assets * 100), F.lit(False))
+    return F.when(doubtful, "").otherwise(tier)
+
+
+def run_kind(day: Column, finished: Column) -> Column:
+    """fill where a run read a day more than five days before it finished, else scan."""
+    return F.when(day < F.date_sub(F.to_date(finished), 5), "fill").otherwise("scan")

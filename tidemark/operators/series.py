@@ -55,3 +55,20 @@ def new_elements(rows: DataFrame, current: str, prior: str) -> Column:
     """Sorted elements of ``current`` that ``prior`` lacks; a null array is empty."""
     empty = F.array().cast("array<string>")
     return F.array_sort(F.array_except(F.coalesce(F.col(current), empty), F.coalesce(F.col(prior), empty)))
+
+
+def renamed_between(rows: DataFrame, names: DataFrame, key: str, after: str, upto: str) -> DataFrame:
+    """Each row with ``renamed_from``: the first former name (by ``pos``) whose ``until`` lies from ``after`` to ``upto``.
+
+    ``names`` is (key, pos, name, until), a handful of rows a key; they are gathered by key first, so the interval is
+    tested inside the row and nothing multiplies. Without such a name the column is null.
+    """
+    kept = names.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "name", "until"))).alias("_names"))
+    inside = F.filter("_names", lambda n: n["until"].between(F.col(after), F.col(upto)))
+    return rows.join(kept, key, "left").withColumn("renamed_from", F.get(inside, 0)["name"]).drop("_names")
+
+
+def latest_runs(runs: DataFrame, day: str, order: str) -> DataFrame:
+    """The last run of each day that was neither blocked nor to be retried."""
+    good = runs.filter(~F.coalesce("blocked", F.lit(False)) & ~F.coalesce("retryable", F.lit(False)))
+    return good.groupBy(day).agg(F.max_by(F.struct(*[c for c in runs.columns if c != day]), order).alias("_r")).select(day, "_r.*")

@@ -108,3 +108,20 @@ _cases("lateness_cases", [("0", "current"), ("1", "1 business day behind"), ("3"
 _cases("money_cases", [("1720000000", "$1.7B"), ("88000000", "$88M"), (None, "")], lambda t: scalars.money(t.cast("double")))
 _cases("percent_cases", [("1", "12%"), ("3", "38%"), ("0", "0%")], lambda t: scalars.percent(t.cast("int"), F.lit(8)))
 _cases("boilerplate_cases", [("We identify the contract with a customer. Our pumps ship in May.", "Our pumps ship in May."), ("Nothing of that.", "Nothing of that.")], lambda t: text.drop_sentences(t, text.FLAGS + r"identify\s+the\s+contract|five[- ]step"))
+_cases("verified_tier_cases", [("2e10", ""), ("8e7", "mid"), ("9e8", "large")], lambda t: scalars.verified_tier(t.cast("double"), F.when(t == "2e10", 1e7).otherwise(F.lit(None))))
+_cases("tier_downgrade_cases", [("big_four>other", True), ("other>national", False), ("big_four>", None)], lambda t: items.tier_downgrade(F.split(t, ">")[0], F.split(t, ">")[1]), "boolean")
+_cases("auditor_severity_cases", [("resigned", "high"), ("declined", "elevated"), ("dismissed", "normal")], lambda t: items.auditor_severity(t, F.lit(None).cast("boolean"), F.lit(False)))
+_cases("amendment_cases", [("This amendment is filed solely to add Exhibit 16.1.", True), ("The sole purpose is to correct the signature block.", True), ("This amendment corrects the date of dismissal.", False), (None, False)], items.only_the_letter, "boolean")
+_LONG = "We look at the notes to the accounts with care. " * 9
+_cases("letter_admission_cases", [(_LONG + "Please tell us why.", True), ("Please tell us why.", False), (_LONG, False)], lambda t: items.admits_letter(t, F.lit(True)), "boolean")
+_cases("first_comment_cases", [("Jan 5\nDear Ms. Roe:\nWe have reviewed your filing. 1. Tell us how you judged control over the agent in note 3. Sincerely, X", "Tell us how you judged control over the agent in note 3.")], items.first_comment)
+_RISKS = "Item 1A. Risk Factors\nOur losses raise substantial doubt about our ability to continue.\nItem 2. Properties\nNone."
+_cases(
+    "document_concern_cases",
+    [(_RISKS, "risk_factor_only"), ("We sell soap.", "none"), ("There is much loss. These losses raise substantial doubt about our ability to continue as a going concern.", "substantial_doubt"), ("NOTE 2 — Going Concern\n" + "We concluded that substantial doubt exists. " * 6 + "\n3. Debt\nx", "substantial_doubt"), (None, None)],
+    spans.document_concern,
+)
+_POLICY = "We count revenue when a performance obligation is met; the transaction price of contracts with customers is set in advance. " * 4
+_cases("revenue_note_cases", [("2. Revenue Recognition\n" + _POLICY + "\n3. Debt\nNone", _POLICY.strip()), ("Revenue Recognition\nShort.", ""), ("No such note.", "")], spans.revenue_note)
+_cases("excerpt_cases", [("One is here. Two has the word alpha in it.", "One is here. Two has the word alpha in it."), ("nothing", None)], lambda t: spans.around(t, "alpha"))
+_cases("compatible_cases", [("\uff21\ufb01", "Afi"), ("plain", "plain")], spans.compatible)

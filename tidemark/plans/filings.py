@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark import schema
+from tidemark.detect import items as readers
 from tidemark.functions import scalars
 from tidemark.operators import series, views
 from tidemark.plans.registry import query
@@ -230,3 +231,50 @@ SELECT seq, CASE WHEN f.public_float >= 10e9 THEN 'mega' WHEN f.public_float >=
 def size_tags(spark, sf):
     """Filings tagged with their company's size, the empty tier where none is known."""
     return _filings(spark, sf).select("seq", "cik").join(frame_union(spark, sf), "cik", "left").select("seq", scalars.size_tier(F.col("public_float")).alias("tier"))
+
+
+_CODE_SIGNAL = "CASE c WHEN '4.01' THEN 'auditor_change' WHEN '4.02' THEN 'restatement' WHEN '5.02' THEN 'officer_departure' END"
+
+
+@query(f"""
+WITH i AS (SELECT seq, accession, trim(unnest(items)) AS c FROM filings WHERE upper(trim(form)) IN {_in(schema.EVENT_FORMS)}),
+     s AS (SELECT accession, {_CODE_SIGNAL} AS signal_type, min(seq) AS seq, arg_min(c, struct_pack(a := seq, b := c)) AS item_code FROM i WHERE {_CODE_SIGNAL} IS NOT NULL AND accession IS NOT NULL GROUP BY ALL)
+SELECT seq, substr(sha1(accession || ':' || signal_type), 1, 16) AS id, signal_type, item_code, CASE item_code WHEN '4.01' THEN 'Change of certifying accountant' WHEN '4.02' THEN 'Earlier statements not to be relied on' ELSE 'Departure of officers' END AS item_title, 'confirmed' AS confidence FROM s
+""")
+def item_events(spark, sf):
+    """Events straight from item codes, once for each filing and signal."""
+    return readers.item_events(_filings(spark, sf))
+
+
+@query(f"""
+WITH u AS (SELECT cik, company AS name, max(filed) AS until FROM disclosures WHERE cik IS NOT NULL AND company IS NOT NULL AND filed IS NOT NULL GROUP BY cik, company),
+     n AS (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY until DESC, name) AS pos FROM u),
+     r AS (SELECT seq, cik, filed FROM disclosures WHERE cik IS NOT NULL AND filed IS NOT NULL)
+SELECT r.seq, arg_min(n.name, n.pos) AS renamed_from FROM r LEFT JOIN n ON n.cik = r.cik AND n.until BETWEEN r.filed - 30 AND r.filed GROUP BY r.seq
+""")
+def renamed_between(spark, sf):
+    """A name that a company used last within the thirty days before an entry."""
+    from pyspark.sql import Window
+
+    d = table(spark, sf, "disclosures").filter("cik is not null and filed is not null")
+    used = d.filter("company is not null").groupBy("cik", F.col("company").alias("name")).agg(F.max("filed").alias("until"))
+    names = used.withColumn("pos", F.row_number().over(Window.partitionBy("cik").orderBy(F.desc("until"), "name")))
+    rows = d.select("seq", "cik", F.date_sub("filed", 30).alias("lo"), F.col("filed").alias("hi"))
+    return series.renamed_between(rows, names, "cik", "lo", "hi").select("seq", "renamed_from")
+
+
+@query(f"""
+WITH r AS (SELECT scan_day AS day, seq, sic IS NULL AS blocked, length(company) AS rows FROM filings WHERE scan_day IS NOT NULL)
+SELECT day, max(seq) AS seq, arg_max(rows, seq)::INT AS rows FROM r WHERE NOT blocked GROUP BY 1
+""")
+def latest_runs(spark, sf):
+    """The last good run of each day (rows without an industry stand for blocked runs)."""
+    f = _filings(spark, sf).filter("scan_day is not null")
+    runs = f.select(F.col("scan_day").alias("day"), "seq", F.col("sic").isNull().alias("blocked"), F.lit(False).alias("retryable"), F.length("company").alias("rows"))
+    return series.latest_runs(runs, "day", "seq").select("day", "seq", "rows")
+
+
+@query("SELECT seq, CASE WHEN filed < scan_day - 5 THEN 'fill' ELSE 'scan' END AS kind FROM filings WHERE filed IS NOT NULL AND scan_day IS NOT NULL")
+def run_kinds(spark, sf):
+    """Whether a day was read in time or by filling backwards."""
+    return _filings(spark, sf).filter("filed is not null and scan_day is not null").select("seq", scalars.run_kind(F.col("filed"), F.col("scan_day")).alias("kind"))
