@@ -98,6 +98,12 @@ def test_resolution(spark):
         ["Ilmakham & Lundodvane LLC", "ilmakham lundodvane"],
         ["William C. Varnumere, CPA", "Bill Varnumere", "Varnumere, William C., CPA"],
         ["GEN", "GEN LLP", "GEN (formerly Gostastein Esklelhurst)", "Gostastein Esklelhurst Nossantine LLP", "G. Esklelhurst Nossantine"],
+        ["Richard N. Stavundale, CPA", "R.N. Stavundale, Certified Public Accountant"],
+        ["Richard S. Stavundale, CPA", "Dick S. Stavundale, CPA"],
+        ["Richard Stavundale", "Dick Stavundale"],  # could be either
+        ["Samuel T. Orbeck, CPA"],
+        ["Susan T. Orbeck, CPA"],
+        ["S. T. Orbeck CPA"],  # could be either
         ["Q.R.S.", "Quoralund Rhendimar Selkaby LLP"],
     ]
     fillers = [None, "", " ", "n/a", "N/A", "TBD", "-", "not disclosed"]

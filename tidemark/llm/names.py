@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from functools import lru_cache
 
 from tidemark.llm.lookalike import consistent
@@ -101,15 +102,26 @@ def same_token(a: str, b: str) -> bool:
     return min(len(a), len(b)) >= 4 and one_edit(a, b)
 
 
-def similarity(a: tuple[str, ...], b: tuple[str, ...]) -> float:
-    """Share of the two token sets that can be paired one to one; 0 where an initial contradicts.
+def letters_of(token: str) -> set[str]:
+    return {token[0], *(f[0] for f in SHORT_NAMES.get(token, "").split())}
 
-    Words pair when equal, one edit apart or short forms of each other; an initial pairs with a word it begins.
-    A middle initial that only one side has is passed over, a leading one is not.
-    """
+
+@dataclass
+class Pairing:
+    """How two names' words pair: ``paired`` words with words, ``by_letter`` (word, whether it is b's) with an initial; the rest of either side."""
+
+    paired: int
+    by_letter: list[tuple[str, bool]]
+    missed: int
+    loose_a: list[str]
+    loose_b: list[str]
+
+
+def pairing(a: tuple[str, ...], b: tuple[str, ...]) -> Pairing | None:
+    """Words pair when equal, one edit apart or short forms of each other; an initial pairs with a word it begins."""
     long_a, long_b = [t for t in a if len(t) > 1], [t for t in b if len(t) > 1]
     if not long_a or not long_b:
-        return 1.0 if a == b else 0.0
+        return None
     rest_b, rest_a, paired = list(long_b), [], 0
     for t in sorted(long_a, key=lambda t: t not in long_b):
         hit = t if t in rest_b else next((u for u in rest_b if same_token(t, u)), None)
@@ -118,28 +130,52 @@ def similarity(a: tuple[str, ...], b: tuple[str, ...]) -> float:
         else:
             rest_b.remove(hit)
             paired += 1
-    if not paired:
-        return 0.0
     loose_a, loose_b = [t for t in a if len(t) == 1], [t for t in b if len(t) == 1]
-    by_letter = 0
-    for words, letters in ((rest_a, loose_b), (rest_b, loose_a)):
+    by_letter = []
+    for words, letters, of_b in ((rest_a, loose_b, False), (rest_b, loose_a, True)):
         for w in list(words):
-            firsts = {w[0], *(f[0] for f in SHORT_NAMES.get(w, "").split())}
-            hit = next((x for x in letters if x in firsts), None)
+            hit = next((x for x in letters if x in letters_of(w)), None)
             if hit is not None:
                 letters.remove(hit)
                 words.remove(w)
-                by_letter += 1
+                by_letter.append((w, of_b))
     for x in list(loose_a):
         if x in loose_b:
             loose_a.remove(x)
             loose_b.remove(x)
-    if loose_a and loose_b:
+    return Pairing(paired, by_letter, len(rest_a) + len(rest_b), loose_a, loose_b)
+
+
+def similarity(a: tuple[str, ...], b: tuple[str, ...]) -> float:
+    """Share of the two token sets that can be paired one to one; 0 where an initial contradicts.
+
+    A middle initial that only one side has is passed over, a leading one is not.
+    """
+    p = pairing(a, b)
+    if p is None:
+        return 1.0 if a == b else 0.0
+    if not p.paired or (p.loose_a and p.loose_b):
         return 0.0
-    lead = (loose_a and a[0] == loose_a[0]) or (loose_b and b[0] == loose_b[0])
-    whole = 2 * (paired + by_letter)
-    missed = len(rest_a) + len(rest_b) + bool(lead)
-    return whole / (whole + missed)
+    lead = (p.loose_a and a[0] == p.loose_a[0]) or (p.loose_b and b[0] == p.loose_b[0])
+    whole = 2 * (p.paired + len(p.by_letter))
+    return whole / (whole + p.missed + bool(lead))
+
+
+def adds(a: tuple[str, ...], b: tuple[str, ...]) -> str:
+    """What b tells that a leaves open: its middle initial, and the word that a only begins; empty where nothing."""
+    p = pairing(a, b)
+    if p is None:
+        return ""
+    return " ".join(sorted([f"i:{x}" for x in p.loose_b] + [f"w:{w}" for w, of_b in p.by_letter if of_b]))
+
+
+def contradict(told: list[str]) -> bool:
+    """Whether what several names add to one can't all be true of it."""
+    kinds: dict[str, list[str]] = {"i": [], "w": []}
+    for t in told:
+        for part in t.split():
+            kinds[part[0]].append(part[2:])
+    return len(set(kinds["i"])) > 1 or any(not same_token(x, y) for x in kinds["w"] for y in kinds["w"] if x < y)
 
 
 def same_name(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
@@ -155,10 +191,6 @@ def cut_variants(token: str) -> list[str]:
     return [token, *{token[:i] + token[i + 1 :] for i in range(len(token))}]
 
 
-def letters_of(token: str) -> set[str]:
-    return {token[0], *(f[0] for f in SHORT_NAMES.get(token, "").split())}
-
-
 def block_keys(tokens: tuple[str, ...]) -> set[str]:
     """Keys of which two names that ``same_name`` accepts share one: a word less a character beside another word's first letter."""
     keys = {"run " + "".join(tokens)}

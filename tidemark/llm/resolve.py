@@ -53,22 +53,49 @@ def _keys(tokens: Column | str) -> Column:
     return keys(tokens)
 
 
-def _same(a: Column | str, b: Column | str) -> Column:
-    @arrow(BooleanType())
-    def same(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+_MATCH = StructType([StructField("same", BooleanType()), StructField("to_x", StringType()), StructField("to_y", StringType())])
+
+
+def _compare(x: Column | str, y: Column | str) -> Column:
+    """struct<same, to_x, to_y>: whether two spellings can be one name, and what each adds to the other."""
+
+    @arrow(_MATCH)
+    def compare(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for left, right in batches:
-            yield pa.array([names.same_name(tuple(x.split()), tuple(y.split())) for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True)], pa.bool_())
+            out = []
+            for u, v in zip(left.to_pylist(), right.to_pylist(), strict=True):
+                u, v = tuple(u.split()), tuple(v.split())
+                same = names.same_name(u, v)
+                out.append({"same": same, "to_x": names.adds(u, v) if same else "", "to_y": names.adds(v, u) if same else ""})
+            yield pa.array(out, pa.struct([("same", pa.bool_()), ("to_x", pa.string()), ("to_y", pa.string())]))
+
+    return compare(x, y)
 
-    return same(a, b)
+
+def _contradict(told: Column | str) -> Column:
+    @arrow(BooleanType())
+    def contradict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([names.contradict(v) for v in batch.to_pylist()], pa.bool_())
+
+    return contradict(told)
 
 
 def _match_spellings(state: DataFrame) -> DataFrame:
-    """(a, b): profiles of which some spelling matches some spelling of the other."""
+    """(a, b): profiles of which some spelling matches some spelling of the other.
+
+    A spelling that leaves a part open (no middle initial, a given name's letter only) and matches names that fill it
+    differently could be any of them: it links none of those.
+    """
     spelled = state.filter((F.size("tokens") > 1) | (F.length(F.element_at("tokens", 1)) > 4)).select("pid", "tokens", F.array_join("tokens", " ").alias("text")).distinct()
     blocked = land(spelled.select("pid", "text", F.explode(_keys("tokens")).alias("key")), "blocks")
     l, r = blocked.alias("l"), blocked.alias("r")
     pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.pid") < F.col("r.pid"))).select(F.col("l.pid").alias("a"), F.col("r.pid").alias("b"), F.col("l.text").alias("x"), F.col("r.text").alias("y")).distinct()
-    return pairs.filter(_same("x", "y")).select("a", "b").distinct()
+    compared = land(pairs.select("a", "b", "x", "y", _compare("x", "y").alias("m")).filter("m.same").select("a", "b", "x", "y", "m.to_x", "m.to_y"), "compared")
+    told = compared.select(F.col("x").alias("text"), F.col("to_x").alias("told")).unionByName(compared.select(F.col("y").alias("text"), F.col("to_y").alias("told"))).filter("told <> ''")
+    open_ = land(told.groupBy("text").agg(F.collect_set("told").alias("told")).filter(F.size("told") > 1).filter(_contradict("told")).select("text"), "open")
+    clear = compared.join(open_.select(F.col("text").alias("x"), F.lit(True).alias("open_x")), "x", "left").join(open_.select(F.col("text").alias("y"), F.lit(True).alias("open_y")), "y", "left")
+    return clear.filter("not (open_x is not null and to_x <> '') and not (open_y is not null and to_y <> '')").select("a", "b").distinct()
 
 
 def _match_acronyms(state: DataFrame) -> DataFrame:
