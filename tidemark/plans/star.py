@@ -112,10 +112,13 @@ def figures(spark, sf):
     return n.select("n", scalars.figure(F.col("n")).alias("shown"))
 
 
-@query("SELECT ts, (CASE WHEN hour(timezone('America/New_York', timezone('UTC', ts))) >= 23 THEN timezone('America/New_York', timezone('UTC', ts))::DATE ELSE timezone('America/New_York', timezone('UTC', ts))::DATE - 1 END) AS day FROM (SELECT DISTINCT ts::TIMESTAMP AS ts FROM events)")
+@query("""
+WITH l AS (SELECT timezone('America/New_York', timezone('UTC', ts::TIMESTAMP)) AS t FROM events)
+SELECT CASE WHEN hour(t) >= 23 THEN t::DATE ELSE t::DATE - 1 END AS day, count(*) AS events FROM l GROUP BY 1
+""")
 def last_complete_day(spark, sf):
-    t = table(spark, sf, "events").select("ts").distinct()
-    return t.select("ts", scalars.last_complete_day(F.col("ts")).alias("day"))
+    """Events by the last filing day that was complete when they came."""
+    return table(spark, sf, "events").groupBy(scalars.last_complete_day(F.col("ts")).alias("day")).agg(F.count(F.lit(1)).alias("events"))
 
 
 @query("SELECT o_custkey AS c, min(o_orderkey) AS k, count(*) AS n FROM orders GROUP BY 1")
