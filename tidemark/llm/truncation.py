@@ -174,15 +174,19 @@ def _fit(made: list[tuple[str, int, float]], limits: frozenset[int]) -> tuple[np
 
 
 def train_on(rows: DataFrame, field: str, value: str, sample: int = SAMPLE) -> Model:
-    """Train on at most ``sample`` distinct values of each field: half those of most rows, the others in the order of their hash."""
+    """Train on at most ``sample`` distinct values of each field: half those of most rows, the others those of lowest hash."""
     filled = rows.filter(F.trim(value) != "")
-    fields = [r[0] for r in filled.select(field).distinct().orderBy(field).limit(100).collect()]
+    sizes = {r.f: r for r in filled.groupBy(F.col(field).alias("f")).agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(value, 0.02).alias("k")).orderBy("f").limit(100).collect()}
     counts: Counter[str] = Counter()
-    for f in fields:
-        own = filled.filter(F.col(field) == f).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        for order in ([F.desc("n"), "v"], [F.xxhash64("v"), "v"]):
-            for r in own.orderBy(*order).limit(sample // 2).collect():
-                counts[r.v] = max(counts[r.v], r.n)
+    for f, size in sizes.items():
+        own = filled.filter(F.col(field) == f)
+        grouped = lambda some: some.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        # values in a millionth of the rows or more are a million at most; of the others a sample, taken before they are grouped
+        frequent = grouped(own).filter(F.col("n") >= max(2, size.n // 1_000_000)).orderBy(F.desc("n"), "v").limit(sample // 2)
+        thin = min(1.0, (0.6 * sample + 100) / max(size.k, 1))
+        others = grouped(own.filter(F.pmod(F.xxhash64(value), F.lit(1 << 30)) < int(thin * (1 << 30)) + (thin >= 1.0))).orderBy(F.xxhash64("v"), "v").limit(sample // 2)
+        for r in (*frequent.collect(), *others.collect()):
+            counts[r.v] = max(counts[r.v], r.n)
     lengths = {r.n: r.k for r in filled.groupBy(F.length(value).alias("n")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("k"), "n").limit(2_000).collect()}
     return train(counts, lengths)
 
