@@ -62,7 +62,14 @@ def measure(rows: DataFrame, fields: Fields = Fields()) -> DataFrame:
     base = rows.select(
         F.col(fields.order).cast("long").alias("seq"), F.coalesce(F.col(fields.signal), F.lit("~")).alias("signal"), number.alias("number"), canonical_id(F.col(fields.id)).alias("id"), agree.alias("agree")
     )
-    return base.select("*", *[F.levenshtein("number", F.lit(p)).alias(f"d{k}") for k, p in enumerate(PIVOTS)])
+    return base.select("*", *_distances())
+
+
+DIMS = [f"d{k}" for k in range(len(PIVOTS))]
+
+
+def _distances() -> list[Column]:
+    return [F.levenshtein("number", F.lit(p)).alias(d) for d, p in zip(DIMS, PIVOTS, strict=True)]
 
 
 def _one_slip(a: Column, b: Column) -> Column:
@@ -73,16 +80,21 @@ def _one_slip(a: Column, b: Column) -> Column:
     return (distance == 1) | ((distance == RADIUS) & (F.length(a) == DIGITS) & (F.length(b) == DIGITS) & swapped)
 
 
-def near(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b): the nodes of numbers one slip apart. Both sides hold one row for each (signal, agree, number), with ``node``."""
-    width = RADIUS + 1
-    bucket = F.floor(F.col("d0") / width)
-    near_left = left.filter("number is not null").withColumn("bucket", F.explode(F.array(bucket - 1, bucket, bucket + 1)))
+def near(left: DataFrame, right: DataFrame, whole: bool = False) -> DataFrame:
+    """(a, b): the nodes of numbers one slip apart. Both sides hold one row for each (signal, agree, number), with ``node``.
+
+    A range of the first pivot's distance meets its neighbours. Where both sides are the same (``whole``) each pair is
+    met from its lower range, so rows go into two ranges instead of three.
+    """
+    bucket = F.floor(F.col("d0") / (RADIUS + 1))
+    ranges = F.array(bucket, bucket + 1) if whole else F.array(bucket - 1, bucket, bucket + 1)
+    near_left = left.filter("number is not null").withColumn("own", bucket).withColumn("bucket", F.explode(ranges))
     l, r = near_left.alias("l"), right.filter("number is not null").withColumn("bucket", bucket).alias("r")
-    close = [F.abs(F.col(f"l.d{k}") - F.col(f"r.d{k}")) <= RADIUS for k in range(len(PIVOTS))]
     on = (F.col("l.agree") == F.col("r.agree")) & (F.col("l.signal") == F.col("r.signal")) & (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.number") != F.col("r.number"))
-    for c in close:
-        on &= c
+    if whole:
+        on &= (F.col("l.own") < F.col("r.bucket")) | (F.col("l.number") < F.col("r.number"))
+    for d in DIMS:
+        on &= F.abs(F.col(f"l.{d}") - F.col(f"r.{d}")) <= RADIUS
     return l.join(r, on).filter(_one_slip(F.col("l.number"), F.col("r.number"))).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
 
 
@@ -94,14 +106,22 @@ def _nodes(measured: DataFrame) -> DataFrame:
     return keyed.join(first, ["key", "signal"])
 
 
-def repeats(measured: DataFrame) -> DataFrame:
-    """(kept_seq, dup_seq) over a whole distance table: every row that repeats an earlier one, with the first of its filing."""
-    rows = land(_nodes(measured), "nodes")
-    spelled = rows.groupBy("signal", "agree", "number", *[f"d{k}" for k in range(len(PIVOTS))]).agg(F.min("node").alias("node"))
-    same_id = rows.filter("id is not null").groupBy("id", "signal").agg(F.min("node").alias("a"), F.max("node").alias("top"))
+def repeats(measured: DataFrame, stored: bool = False) -> DataFrame:
+    """(kept_seq, dup_seq) over a whole distance table: every row that repeats an earlier one, with the first of its filing.
+
+    Only rows whose agreeing fields stand with more than one number can be a slip apart; these few are compared, and
+    unless their distances are ``stored`` already, measured only then.
+    """
+    rows = land(_nodes(measured if stored else measured.drop(*DIMS)), "nodes")
+    hashed = F.xxhash64("number")
+    several = rows.filter("number is not null").groupBy("signal", "agree").agg(F.min(hashed).alias("lo"), F.max(hashed).alias("hi")).filter("lo <> hi").select("signal", "agree")
+    crowded = rows.join(several, ["signal", "agree"], "left_semi")
+    spelled = crowded.groupBy("signal", "agree", "number", *(DIMS if stored else [])).agg(F.min("node").alias("node"))
+    spelled = land(spelled if stored else spelled.select("*", *_distances()), "spelled")
+    same_id = rows.filter("id is not null").groupBy("id", "signal").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a < top").drop("top")
     # only ids that more than one number carries make links; they join back to their few rows
-    by_id = rows.filter("id is not null").select("id", "signal", F.col("node").alias("b")).join(same_id.filter("a < top").drop("top"), ["id", "signal"]).filter("a <> b").select("a", "b")
-    roots = components(near(spelled, spelled).filter("a < b").unionByName(by_id)).filter("node <> root")
+    by_id = rows.filter("id is not null").select("id", "signal", F.col("node").alias("b")).join(same_id, ["id", "signal"]).filter("a <> b").select("a", "b")
+    roots = components(near(spelled, spelled, whole=True).unionByName(by_id)).filter("node <> root")
     final = rows.select("seq", "node").join(roots, "node", "left").select(F.coalesce("root", "node").alias("kept_seq"), F.col("seq").alias("dup_seq"))
     return final.filter("kept_seq < dup_seq").distinct()
 
@@ -127,14 +147,13 @@ class DistanceTable:
         pool = new
         if old is not None:
             old = old.filter(F.col("batch") != name).drop("batch")
-            dims = [f"d{k}" for k in range(len(PIVOTS))]
-            as_node = lambda df: df.groupBy("signal", "agree", "number", *dims).agg(F.min("seq").alias("node"))
+            as_node = lambda df: df.groupBy("signal", "agree", "number", *DIMS).agg(F.min("seq").alias("node"))
             slipped = near(as_node(new), as_node(old)).select(F.col("b").alias("seq"))
             shared = [old.join(new.select(c, "signal").filter(f"{c} is not null").distinct(), [c, "signal"], "left_semi").select("seq") for c in ("number", "id")]
             touched = shared[0].union(shared[1]).union(slipped).distinct()
             known = old.join(touched, "seq", "left_semi").select("root").distinct()
             pool = new.unionByName(old.join(known, "root", "left_semi").select(new.columns))
-        links = land(repeats(pool), "links")
+        links = land(repeats(pool, stored=True), "links")
         rooted = new.join(links.select(F.col("dup_seq").alias("seq"), F.col("kept_seq").alias("root")), "seq", "left").withColumn("root", F.coalesce("root", "seq"))
         rooted.write.mode("overwrite").parquet(f"{self.path}/batch={name}")
         return links.join(new.select(F.col("seq").alias("dup_seq")), "dup_seq", "left_semi").select("kept_seq", "dup_seq")
