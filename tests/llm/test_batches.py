@@ -94,3 +94,38 @@ def test_bulk_equals_brute_force_and_batches(spark, sf, tmp_path):
             part = {(r.kept_seq, r.dup_seq) for r in store.accept(df.filter(f"seq > {lo} and seq <= {hi}"), str(lo)).collect()}
         got |= part
     assert got == bulk
+
+
+@pytest.mark.parametrize("crowd", [0, 1_000])
+def test_crowds_give_the_same_links(spark, crowd):
+    import random
+
+    rng = random.Random(9)
+    numbers = {f"{rng.choice(['0009000001', '0009000010'])}{rng.choice(['23', '32'])}{rng.randrange(10**6) % 300 * 7:06d}" for _ in range(160)} | {"12345678901234567X", "1234567890123456X", "12345678901234567"}
+    data = [(i, f"{i:x}a", n, "x", 7, "8-K", D) for i, n in enumerate(sorted(sorted(numbers), key=lambda n: rng.random()))]
+    df = rows(spark, data)
+    measured = batches.measure(df)
+    got = {(r.kept_seq, r.dup_seq) for r in batches.repeats(measured, crowd=crowd).collect()}
+    root = {d[0]: d[0] for d in data}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def edits(s):
+        for i in range(len(s)):
+            yield s[:i] + s[i + 1 :]
+            if i + 1 < len(s):
+                yield s[:i] + s[i + 1] + s[i] + s[i + 2 :]
+
+    at = {}
+    for r in measured.orderBy("seq").collect():
+        root[find(r.seq)] = find(at.setdefault(r.number, r.seq))
+    for n, i in at.items():
+        near = {m for m in edits(n)} | {n[:k] + c + n[k + 1 :] for k in range(len(n)) for c in "0123456789X"}
+        for m in near:
+            if m in at and m != n:
+                x, y = find(i), find(at[m])
+                root[max(x, y)] = min(x, y)
+    assert got == {(find(i), i) for i in root if find(i) < i} and got

@@ -98,6 +98,31 @@ def near(left: DataFrame, right: DataFrame, whole: bool = False) -> DataFrame:
     return l.join(r, on).filter(_one_slip(F.col("l.number"), F.col("r.number"))).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
 
 
+#: A group of agreeing fields with more numbers than this is linked by patterns: pairs in it would grow with its square.
+CROWD = 1_000
+
+
+def crowd_links(spelled: DataFrame) -> DataFrame:
+    """(a, b): links that join all numbers one slip apart within very large groups, without meeting in pairs.
+
+    Numbers that differ in one digit share the pattern with that digit blanked, neighbours that are swapped share the
+    pattern with the two in order, a number with a digit too few equals the longer one less that digit. Whoever shares a
+    pattern is linked to the first that has it, so a number costs its patterns, not its neighbours.
+    """
+    n = F.col("number")
+    cut = lambda i, k, mid: F.concat(F.substr(n, F.lit(1), i - 1), mid, F.substr(n, i + k))
+    at, pairs = F.sequence(F.lit(1), F.length(n)), F.sequence(F.lit(1), F.greatest(F.length(n) - 1, F.lit(1)))
+    one = lambda i: F.substr(n, i, F.lit(1))
+    blanked = F.transform(at, lambda i: F.concat(F.lit("b"), cut(i, 1, F.lit("?"))))
+    ordered = F.transform(pairs, lambda i: F.concat(F.lit("s"), i.cast("string"), F.lit(":"), cut(i, 2, F.concat(F.least(one(i), one(i + 1)), F.greatest(one(i), one(i + 1))))))
+    shared = spelled.select("signal", "agree", "node", F.explode(F.array_distinct(F.concat(blanked, ordered))).alias("pattern"))
+    first = shared.groupBy("signal", "agree", "pattern").agg(F.min("node").alias("b"), F.max("node").alias("top")).filter("b < top").drop("top")
+    alike = shared.join(first, ["signal", "agree", "pattern"]).filter("node <> b").select(F.col("node").alias("a"), "b")
+    shorter = spelled.select("signal", "agree", F.col("node").alias("a"), F.explode(F.array_distinct(F.transform(at, lambda i: cut(i, 1, F.lit(""))))).alias("number"))
+    missing = shorter.join(spelled.select("signal", "agree", "number", F.col("node").alias("b")), ["signal", "agree", "number"]).select("a", "b")
+    return alike.unionByName(missing).distinct()
+
+
 def _nodes(measured: DataFrame) -> DataFrame:
     """Each row with ``node``: the first row of the same number and signal (of the same id where the number is null)."""
     key = F.coalesce(F.concat(F.lit("n"), F.col("number")), F.concat(F.lit("i"), F.col("id")), F.concat(F.lit("s"), F.col("seq").cast("string")))
@@ -106,22 +131,25 @@ def _nodes(measured: DataFrame) -> DataFrame:
     return keyed.join(first, ["key", "signal"])
 
 
-def repeats(measured: DataFrame, stored: bool = False) -> DataFrame:
+def repeats(measured: DataFrame, stored: bool = False, crowd: int = CROWD) -> DataFrame:
     """(kept_seq, dup_seq) over a whole distance table: every row that repeats an earlier one, with the first of its filing.
 
     Only rows whose agreeing fields stand with more than one number can be a slip apart; these few are compared, and
-    unless their distances are ``stored`` already, measured only then.
+    unless their distances are ``stored`` already, measured only then. Groups of more than ``crowd`` numbers are linked
+    by patterns instead, with the same result.
     """
     rows = land(_nodes(measured if stored else measured.drop(*DIMS)), "nodes")
     hashed = F.xxhash64("number")
-    several = rows.filter("number is not null").groupBy("signal", "agree").agg(F.min(hashed).alias("lo"), F.max(hashed).alias("hi")).filter("lo <> hi").select("signal", "agree")
-    crowded = rows.join(several, ["signal", "agree"], "left_semi")
-    spelled = crowded.groupBy("signal", "agree", "number", *(DIMS if stored else [])).agg(F.min("node").alias("node"))
+    several = rows.filter("number is not null").groupBy("signal", "agree").agg(F.min(hashed).alias("lo"), F.max(hashed).alias("hi"), F.approx_count_distinct("number").alias("numbers")).filter("lo <> hi").select("signal", "agree", (F.col("numbers") > crowd).alias("crowd"))
+    compared = rows.filter("number is not null").join(several, ["signal", "agree"])
+    spelled = compared.groupBy("signal", "agree", "number", "crowd", *(DIMS if stored else [])).agg(F.min("node").alias("node"))
     spelled = land(spelled if stored else spelled.select("*", *_distances()), "spelled")
     same_id = rows.filter("id is not null").groupBy("id", "signal").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a < top").drop("top")
     # only ids that more than one number carries make links; they join back to their few rows
     by_id = rows.filter("id is not null").select("id", "signal", F.col("node").alias("b")).join(same_id, ["id", "signal"]).filter("a <> b").select("a", "b")
-    roots = components(near(spelled, spelled, whole=True).unionByName(by_id)).filter("node <> root")
+    few = spelled.filter("not crowd")
+    slips = near(few, few, whole=True).unionByName(crowd_links(spelled.filter("crowd")))
+    roots = components(slips.unionByName(by_id)).filter("node <> root")
     final = rows.select("seq", "node").join(roots, "node", "left").select(F.coalesce("root", "node").alias("kept_seq"), F.col("seq").alias("dup_seq"))
     return final.filter("kept_seq < dup_seq").distinct()
 
