@@ -73,3 +73,18 @@ def test_periodic_changes(spark):
     ]
     got = {(r.accession, r.prior_accession, r.signal_type, r.prior_state, r.current_state, r.direction) for r in changes(spark.createDataFrame(docs, "cik long, form string, filed date, accession string, seq long, text string")).collect()}
     assert got == {("b", "a", "going_concern", "none", "substantial_doubt", "escalated"), ("b", "a", "material_weakness", "effective", "material_weakness", "weakened"), ("b", "a", "policy_change", None, "2024-03", None)}
+
+
+def test_ranges_see_what_the_whole_series_sees(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice([1, 2, None]), rng.choice([None, *map(day, range(9))]), rng.choice(["bad", "ok", None])) for i in range(400)]
+    df = spark.createDataFrame(rows, "seq int, cik int, day date, state string")
+    by = lambda out: sorted(map(str, out.collect()))
+    whole, cut = (by(series.run_before(df, ["cik"], "day", "seq", F.col("state") == "bad", size=n)) for n in (10_000, 7))
+    assert whole == cut and len(whole) == 400
+    a, b = (series.previous(df.select("seq", "cik", "day"), ["cik"], "day", ["seq"], "seq", size=n).collect() for n in (10_000, 3))
+    want = {}
+    for c in (1, 2, None):
+        own = sorted((r[2] or dt.date.min, r[0]) for r in rows if r[1] == c)
+        want |= {x[1]: p for x, p in zip(own, [None, *[y[1] for y in own]], strict=False)}
+    assert {r.seq: r.prior_seq for r in a} == {r.seq: r.prior_seq for r in b} == want

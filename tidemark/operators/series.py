@@ -31,13 +31,49 @@ def transitions(rows: DataFrame, state: str, prior_state: str, ladder: list[str]
     return out
 
 
-def run_before(rows: DataFrame, keys: list[str], day: str, order: str, bad: Column, back: int = 6) -> DataFrame:
+RANGE = 50_000
+
+
+def in_ranges(rows: DataFrame, keys: list[str], day: str, order: list[str], back: int, size: int = RANGE) -> tuple[DataFrame, list[str]]:
+    """The rows with ``_pos``, ``_range`` and ``_ghost``, and the columns to partition a window by that looks ``back`` rows back.
+
+    A series is cut into ranges of ``size`` rows, each of which also gets the last ``back`` rows of the range before as
+    ghosts; a window over a range then sees what it would see in the whole series, and no task holds more than a
+    range. Places come from the row counts of days, of which a series has at most as many as the calendar. Rows whose
+    day is null come first, as they sort first.
+    """
+    day_ = F.coalesce(F.col(day).cast("date"), F.lit("0001-01-01").cast("date"))
+    dated = rows.withColumn("_day", day_)
+    counts = dated.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_day").alias("_d"), F.coalesce(before, F.lit(0)).alias("_before"))
+    same = F.col("_day") == F.col("_d")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    within = F.row_number().over(Window.partitionBy(*keys, "_day").orderBy(*order)) - 1
+    placed = dated.withColumn("_within", within).join(offsets, same).withColumn("_pos", F.col("_before") + F.col("_within"))
+    part, last = F.floor(F.col("_pos") / size), F.col("_pos") % size >= size - back
+    both = F.when(last, F.array(F.struct(part.alias("r"), F.lit(False).alias("g")), F.struct((part + 1).alias("r"), F.lit(True).alias("g")))).otherwise(F.array(F.struct(part.alias("r"), F.lit(False).alias("g"))))
+    out = placed.select(*rows.columns, "_pos", F.inline(both).alias("_range", "_ghost"))
+    return out, [*keys, "_range"]
+
+
+def previous(rows: DataFrame, keys: list[str], day: str, order: list[str], value: str, size: int = RANGE) -> DataFrame:
+    """Each row with ``prior_<value>``: the value of the row right before it in its series, null for the first."""
+    spread, by = in_ranges(rows, keys, day, order, 1, size)
+    w = Window.partitionBy(*by).orderBy("_pos")
+    return spread.withColumn(f"prior_{value}", F.lag(value).over(w)).filter("not _ghost").select(*rows.columns, f"prior_{value}")
+
+
+def run_before(rows: DataFrame, keys: list[str], day: str, order: str, bad: Column, back: int = 6, size: int = RANGE) -> DataFrame:
     """For each row the unbroken run of ``bad`` rows right before it, at most ``back`` of them: ``run_len`` and ``run_start``."""
-    w = Window.partitionBy(*keys).orderBy(F.col(day), F.col(order)).rowsBetween(-back, -1)
-    seen = F.reverse(F.collect_list(F.struct(bad.alias("bad"), F.col(day).alias("day"))).over(w))
-    stop = F.array_position(F.transform(seen, lambda s: F.coalesce(s["bad"], F.lit(False))), F.lit(False))
-    n = F.when(stop > 0, stop - 1).otherwise(F.size(seen)).cast("int")
-    return rows.withColumn("_seen", seen).withColumn("run_len", n).withColumn("run_start", F.when(F.col("run_len") > 0, F.get("_seen", F.col("run_len") - 1)["day"])).drop("_seen")
+    spread, by = in_ranges(rows.withColumn("_bad", F.coalesce(bad, F.lit(False))), keys, day, [order], back, size)
+    w = Window.partitionBy(*by).orderBy("_pos").rowsBetween(-back, -1)
+    seen = F.reverse(F.collect_list(F.struct(F.col("_bad").alias("bad"), F.col(day).alias("day"))).over(w))
+    stop = F.array_position(F.transform("_seen", lambda s: s["bad"]), F.lit(False))
+    n = F.when(stop > 0, stop - 1).otherwise(F.size("_seen")).cast("int")
+    out = spread.withColumn("_seen", seen).filter("not _ghost").withColumn("run_len", n).withColumn("run_start", F.when(F.col("run_len") > 0, F.get("_seen", F.col("run_len") - 1)["day"]))
+    return out.select(*rows.columns, "run_len", "run_start")
 
 
 def newest(rows: DataFrame, key: str, *order: Column) -> DataFrame:

@@ -43,10 +43,7 @@ def prior_orders(spark, sf):
 
 @query(f"WITH o AS ({_O}), q AS (SELECT k, s, lag(s) OVER (PARTITION BY c ORDER BY d, k) AS prior_s FROM o) SELECT k, s, prior_s, CASE WHEN list_position(['O', 'P', 'F'], s) > list_position(['O', 'P', 'F'], prior_s) THEN 'escalated' ELSE 'eased' END AS direction FROM q WHERE s <> prior_s")
 def order_transitions(spark, sf):
-    from pyspark.sql import Window
-
-    o = _orders(spark, sf)
-    stepped = o.withColumn("prior_s", F.lag("s").over(Window.partitionBy("c").orderBy("d", "k")))
+    stepped = series.previous(_orders(spark, sf), ["c"], "d", ["k"], "s")
     return series.transitions(stepped.select("k", "s", "prior_s"), "s", "prior_s", ["O", "P", "F"])
 
 
@@ -89,10 +86,9 @@ def replayed_events(spark, sf):
 @query("WITH s AS (SELECT l_partkey AS p, l_suppkey AS s, lag(l_suppkey) OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber) AS f FROM lineitem), m AS (SELECT f AS k, 1 AS l, 0 AS j FROM s WHERE f <> s UNION ALL SELECT s, 0, 1 FROM s WHERE f <> s) SELECT k AS supplier, s_name AS name, sum(l)::BIGINT AS \"left\", sum(j)::BIGINT AS joined, sum(j)::BIGINT - sum(l)::BIGINT AS net FROM m JOIN supplier ON s_suppkey = k GROUP BY ALL")
 def supplier_movement(spark, sf):
     """Suppliers that parts moved from and to."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("l_partkey").orderBy("l_shipdate", "l_orderkey", "l_linenumber")
-    s = table(spark, sf, "lineitem").select(F.lag("l_suppkey").over(w).alias("f"), F.col("l_suppkey").alias("s")).filter("f <> s")
+    lines = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber")
+    stepped = series.previous(lines, ["l_partkey"], "l_shipdate", ["l_shipdate", "l_orderkey", "l_linenumber"], "l_suppkey")
+    s = stepped.select(F.col("prior_l_suppkey").alias("f"), F.col("l_suppkey").alias("s")).filter("f <> s")
     m = s.select(F.inline(F.array(F.struct(F.col("f").alias("supplier"), F.lit(1).alias("l"), F.lit(0).alias("j")), F.struct(F.col("s").alias("supplier"), F.lit(0).alias("l"), F.lit(1).alias("j")))))
     counted = m.groupBy("supplier").agg(F.sum("l").alias("left"), F.sum("j").alias("joined"))
     names = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("supplier"), F.col("s_name").alias("name"))
