@@ -425,7 +425,7 @@ _CHECKS = " UNION ALL ".join(
         _check_sql("comparison is of one form", "fail", _CMP + " AND coalesce(evidence.prior_form, '') <> ''", "regexp_replace(upper(trim(evidence.prior_form)), '/A$', '') <> regexp_replace(upper(trim(form)), '/A$', '')"),
         _check_sql("comparison looks back", "fail", _CMP + " AND coalesce(evidence.prior_filed, '') <> ''", "coalesce(TRY_CAST(evidence.prior_filed AS DATE) >= filed, false)"),
         _check_sql("quote opens with substance", "warn", "coalesce(trim(quote) <> '', false)", "regexp_matches(quote, '^[\\s,;:.)\\]]')"),
-        _check_sql("quote ends cleanly", "warn", "coalesce(trim(quote) <> '', false)", "NOT regexp_matches(rtrim(quote, ' '), '[.!?;:\"”’)\\]…]$')"),
+        _check_sql("quote ends cleanly", "warn", "coalesce(trim(quote) <> '', false)", "NOT regexp_matches(regexp_replace(quote, '[\\s\\x{a0}\\x{2000}-\\x{200a}\\x{202f}\\x{3000}]+$', ''), '[.!?;:\"”’)\\]…]$')"),
         _check_sql("firm names hold letters", "fail", f"{_NAMED.format('predecessor_auditor')} OR {_NAMED.format('successor_auditor')}", " OR ".join(f"({_NAMED.format(f)} AND NOT regexp_matches(evidence.{f}, '\\p{{L}}'))" for f in ("predecessor_auditor", "successor_auditor"))),
     ]
 )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schema
 from tidemark.functions.scalars import base_form
-from tidemark.functions.text import FLAGS
+from tidemark.functions.text import FLAGS, strip
 
 OK, WARN, FAIL = "ok", "warn", "fail"
 
@@ -38,7 +38,7 @@ def _tests() -> dict[str, tuple[str, Column, Column]]:
         "comparison is of one form": (FAIL, compared & (F.coalesce(F.col("evidence.prior_form"), F.lit("")) != ""), base_form(F.col("evidence.prior_form")) != base_form(F.col("form"))),
         "comparison looks back": (FAIL, compared & (F.coalesce(F.col("evidence.prior_filed"), F.lit("")) != ""), F.coalesce(F.try_to_date("evidence.prior_filed") >= F.col("filed"), F.lit(False))),
         "quote opens with substance": (WARN, quoted, F.col("quote").rlike(r"^[\s,;:.)\]]")),
-        "quote ends cleanly": (WARN, quoted, ~F.rtrim("quote").rlike("[.!?;:\"”’)\\]…]$")),
+        "quote ends cleanly": (WARN, quoted, ~strip(F.col("quote")).rlike("[.!?;:\"”’)\\]…]\\z")),
         "firm names hold letters": (FAIL, named("predecessor_auditor") | named("successor_auditor"), not_a_firm("predecessor_auditor") | not_a_firm("successor_auditor")),
     }
 
