@@ -185,7 +185,7 @@ def _calibrate(model: Model, docs: list[Doc]) -> None:
 
 def train(docs: list[Doc], codes: list[str], turns: int = 4, steps: int = 40, seed: int = 5) -> Model:
     """Fit without a fifth of the labelled documents, calibrate and measure on it, then fit on all. Without documents nothing has a subject."""
-    codes = sorted(set(codes) - {GENERAL})
+    codes = sorted(set(codes) - {GENERAL, None})
     labelled = [d for d in docs if d.labels]
     random.Random(seed).shuffle(labelled)
     fifth = labelled[: len(labelled) // 5]
