@@ -213,8 +213,8 @@ def submissions_scan(spark, sf):
 
 @query("WITH q AS (SELECT (date_trunc('quarter', max(filed)) - INTERVAL (3 * i) MONTH - INTERVAL 1 DAY)::DATE AS d, i FROM filings, range(0, 12) t(i) GROUP BY i) SELECT i AS id, 'CY' || year(d) || 'Q' || quarter(d) || 'I' AS frame FROM q")
 def quarter_frames(spark, sf):
-    today = str(_filings(spark, sf).agg(F.max("filed")).first()[0])
-    return records.quarter_frames(spark, 12, today)
+    today = _filings(spark, sf).agg(F.max("filed")).first()[0]
+    return records.quarter_frames(spark, 12 if today else 0, str(today or "2000-01-01"))
 
 
 @query("SELECT cik, max(public_float) AS public_float FROM disclosures WHERE public_float > 0 AND NOT isnan(public_float) AND cik IS NOT NULL GROUP BY 1")

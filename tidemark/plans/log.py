@@ -9,7 +9,7 @@ from tidemark.functions import scalars, text
 from tidemark.operators import dedupe, followon, firms, sequences, series, views
 from tidemark.plans.registry import query
 from tidemark.session import table
-from tidemark.sinks import feed_items, year_index
+from tidemark.sinks import exists, feed_items, year_index
 from tidemark.sources.records import newest_first
 
 # Parts that several queries share.
@@ -477,4 +477,5 @@ def stream_dedupe(spark, sf):
     where = f"{shared_dir(spark)}/tidemark-stream-{uuid.uuid4().hex}"
     e.write.parquet(f"{where}/landing")
     keep_log(spark, f"{where}/landing", f"{where}/log", f"{where}/checkpoint", e.schema, table(spark, sf, "tombstones"))
-    return spark.read.schema(e.schema).parquet(f"{where}/log").select("id")
+    kept = spark.read.schema(e.schema).parquet(f"{where}/log") if exists(spark, f"{where}/log") else spark.createDataFrame([], e.schema)
+    return kept.select("id")
