@@ -90,6 +90,8 @@ def near(left: DataFrame, right: DataFrame, whole: bool = False) -> DataFrame:
     ranges = F.array(bucket, bucket + 1) if whole else F.array(bucket - 1, bucket, bucket + 1)
     near_left = left.filter("number is not null").withColumn("own", bucket).withColumn("bucket", F.explode(ranges))
     l, r = near_left.alias("l"), right.filter("number is not null").withColumn("bucket", bucket).alias("r")
+    if whole:
+        r = r.hint("merge")  # a written table looks smaller than it is; neither side has a bound
     on = (F.col("l.agree") == F.col("r.agree")) & (F.col("l.signal") == F.col("r.signal")) & (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.number") != F.col("r.number"))
     if whole:
         on &= (F.col("l.own") < F.col("r.bucket")) | (F.col("l.number") < F.col("r.number"))
@@ -117,9 +119,9 @@ def crowd_links(spelled: DataFrame) -> DataFrame:
     ordered = F.transform(pairs, lambda i: F.concat(F.lit("s"), i.cast("string"), F.lit(":"), cut(i, 2, F.concat(F.least(one(i), one(i + 1)), F.greatest(one(i), one(i + 1))))))
     shared = spelled.select("signal", "agree", "node", F.explode(F.array_distinct(F.concat(blanked, ordered))).alias("pattern"))
     first = shared.groupBy("signal", "agree", "pattern").agg(F.min("node").alias("b"), F.max("node").alias("top")).filter("b < top").drop("top")
-    alike = shared.join(first, ["signal", "agree", "pattern"]).filter("node <> b").select(F.col("node").alias("a"), "b")
+    alike = shared.join(first.hint("merge"), ["signal", "agree", "pattern"]).filter("node <> b").select(F.col("node").alias("a"), "b")
     shorter = spelled.select("signal", "agree", F.col("node").alias("a"), F.explode(F.array_distinct(F.transform(at, lambda i: cut(i, 1, F.lit(""))))).alias("number"))
-    missing = shorter.join(spelled.select("signal", "agree", "number", F.col("node").alias("b")), ["signal", "agree", "number"]).select("a", "b")
+    missing = shorter.join(spelled.select("signal", "agree", "number", F.col("node").alias("b")).hint("merge"), ["signal", "agree", "number"]).select("a", "b")
     return alike.unionByName(missing).distinct()
 
 
@@ -128,7 +130,7 @@ def _nodes(measured: DataFrame) -> DataFrame:
     key = F.coalesce(F.concat(F.lit("n"), F.col("number")), F.concat(F.lit("i"), F.col("id")), F.concat(F.lit("s"), F.col("seq").cast("string")))
     keyed = measured.withColumn("key", key)
     first = keyed.groupBy("key", "signal").agg(F.min("seq").alias("node"))
-    return keyed.join(first, ["key", "signal"])
+    return keyed.join(first.hint("merge"), ["key", "signal"])
 
 
 def repeats(measured: DataFrame, stored: bool = False, crowd: int = CROWD) -> DataFrame:
@@ -141,16 +143,16 @@ def repeats(measured: DataFrame, stored: bool = False, crowd: int = CROWD) -> Da
     rows = land(_nodes(measured if stored else measured.drop(*DIMS)), "nodes")
     hashed = F.xxhash64("number")
     several = rows.filter("number is not null").groupBy("signal", "agree").agg(F.min(hashed).alias("lo"), F.max(hashed).alias("hi"), F.approx_count_distinct("number").alias("numbers")).filter("lo <> hi").select("signal", "agree", (F.col("numbers") > crowd).alias("crowd"))
-    compared = rows.filter("number is not null").join(several, ["signal", "agree"])
+    compared = rows.filter("number is not null").join(several.hint("merge"), ["signal", "agree"])
     spelled = compared.groupBy("signal", "agree", "number", "crowd", *(DIMS if stored else [])).agg(F.min("node").alias("node"))
     spelled = land(spelled if stored else spelled.select("*", *_distances()), "spelled")
     same_id = rows.filter("id is not null").groupBy("id", "signal").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a < top").drop("top")
     # only ids that more than one number carries make links; they join back to their few rows
-    by_id = rows.filter("id is not null").select("id", "signal", F.col("node").alias("b")).join(same_id, ["id", "signal"]).filter("a <> b").select("a", "b")
+    by_id = rows.filter("id is not null").select("id", "signal", F.col("node").alias("b")).join(same_id.hint("merge"), ["id", "signal"]).filter("a <> b").select("a", "b")
     few = spelled.filter("not crowd")
     slips = near(few, few, whole=True).unionByName(crowd_links(spelled.filter("crowd")))
     roots = components(slips.unionByName(by_id)).filter("node <> root")
-    final = rows.select("seq", "node").join(roots, "node", "left").select(F.coalesce("root", "node").alias("kept_seq"), F.col("seq").alias("dup_seq"))
+    final = rows.select("seq", "node").join(roots.hint("merge"), "node", "left").select(F.coalesce("root", "node").alias("kept_seq"), F.col("seq").alias("dup_seq"))
     return final.filter("kept_seq < dup_seq").distinct()
 
 
