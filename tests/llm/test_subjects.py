@@ -2,7 +2,6 @@ import numpy as np
 import pytest
 
 from tidemark.llm import queries, subjects
-from tidemark.session import table
 
 
 @pytest.fixture(scope="module")
@@ -48,4 +47,3 @@ def test_no_labels(spark):
     sections = spark.createDataFrame([], "key string, section string")
     m = subjects.train(subjects.training_documents(docs, labels, sections, ["x", "y"]), ["x", "y"])
     assert [tuple(r) for r in subjects.assign(docs, m).collect()] == [(1, "general")]
-    assert table is not None

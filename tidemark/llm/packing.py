@@ -12,19 +12,17 @@ row for each piece.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import cut, land
+from tidemark.session import land
 
 CAPACITY = 2_048
 #: Tokens in a packing partition: some 20,000 full containers, a few seconds and some 10 MB of one task.
 PARTITION_TOKENS = 40_000_000
-#: Zero-size items travel apart from the sizes; a partition is also held to this many items.
+#: A partition is also held to this many items, as items of size zero add no tokens.
 PARTITION_ITEMS = 200_000
 ROUNDS = 3
 
@@ -145,7 +143,5 @@ def pack(items: DataFrame, item: str, size: str, capacity: int = CAPACITY, round
 def number(done: DataFrame) -> DataFrame:
     """Name the containers and set the positions; a container holds at most ``capacity`` items of size one or more."""
     container = F.concat_ws("-", "turn", "part", "box").alias("container")
-    from pyspark.sql import Window
-
     order = Window.partitionBy("turn", "part", "box").orderBy(F.desc("size"), "item", "piece")
     return done.select("item", "piece", "size", container, (F.row_number().over(order) - 1).alias("position"), "room", "certified")

@@ -19,7 +19,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.session import arrow
 
