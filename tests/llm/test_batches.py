@@ -129,3 +129,20 @@ def test_crowds_give_the_same_links(spark, crowd):
                 x, y = find(i), find(at[m])
                 root[max(x, y)] = min(x, y)
     assert got == {(find(i), i) for i in root if find(i) < i} and got
+
+
+@pytest.mark.parametrize("crowd", [0, 1_000])
+def test_left_out_and_doubled_digits_however_typed(spark, crowd):
+    full, typed = "0009006316-24-002268", ["0009006316-24-002268", "000900631624002268", "0009006316_24_002268", "9006316-24-2268", "900631624002268"]
+    slips = [(t, t[:i] + c + t[i + 1 :]) for t in typed for i in range(len(t)) if t[i].isdigit() for c in ("", t[i] * 2)]
+    data = [r for k, (_, s) in enumerate(slips) for r in ((2 * k, f"{2 * k:x}a", full, f"x{k}", k, "8-K", D), (2 * k + 1, f"{2 * k + 1:x}b", s, f"x{k}", k, "8-K", D))]
+    got = {(r.kept_seq, r.dup_seq) for r in batches.repeats(batches.measure(rows(spark, data)), crowd=crowd).collect()}
+    assert not [slips[k] for k in range(len(slips)) if (2 * k, 2 * k + 1) not in got] and len(got) == len(slips)
+
+
+@pytest.mark.parametrize("crowd", [0, 1_000])
+def test_padding_makes_no_slip(spark, crowd):
+    pairs = [("0009006316-24-000140", "0009006316-24-000014"), ("000900631624000140", "0009006316-24-000014"), ("0009006316-24-002268", "0090063160-24-002268"), ("0009006316-24-002268", "00090063-24-002268")]
+    data = [(2 * k + side, f"{2 * k + side:x}a", n, "x", k, "8-K", D) for k, p in enumerate(pairs) for side, n in enumerate(p)]
+    got = {(r.kept_seq, r.dup_seq) for r in batches.repeats(batches.measure(rows(spark, data)), crowd=crowd).collect()}
+    assert got == {(0, 2), (1, 3), (4, 6)}  # the same numbers, however written

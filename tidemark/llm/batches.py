@@ -10,6 +10,9 @@ The same filing and signal is: the same number however it is written, the same i
 number one slip of the keyboard apart (a digit changed, left out, doubled, or two neighbours swapped) where the
 agreeing fields agree, two nulls agreeing. A chain of such rows is one filing; its first row is the one kept.
 A row whose number and id are both null or blank repeats nothing.
+
+Slips are looked for between the full numbers and, as padding would hide a digit left out or doubled, between a number
+as it was typed and the ways the other may be written (in full, without leading zeros, part by part).
 """
 
 from __future__ import annotations
@@ -29,14 +32,56 @@ RADIUS = 2
 PIVOTS = tuple("".join(str(i * k % 10) for i in range(DIGITS)) for k in (0, 1, 3))
 
 
+#: Digits of the three parts of a number.
+WIDTHS = (10, 2, 6)
+
+
+def _parts(spare: int) -> str:
+    """Three parts of digits with something between them, each with ``spare`` digits too many at most."""
+    each = [f"([0-9]{{1,{n + spare}}})" for n in WIDTHS]
+    return "(?<![0-9])" + "[^0-9A-Za-z]{1,3}".join(each) + "(?![0-9])"
+
+
+def _text(value: Column) -> Column:
+    return F.upper(F.trim(F.regexp_replace(value, r"(?U)\s+", " ")))
+
+
+def _digits(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, r"^.*/", ""), "[^0-9]", "")
+
+
+def _pad(digits: Column, width: int) -> Column:
+    return F.when(F.length(digits) > width, digits).otherwise(F.lpad(digits, width, "0"))
+
+
+def _parts_in(text: Column) -> Column:
+    """The three parts as they stand, between other characters; null where there are none."""
+    found = lambda spare: F.nullif(F.regexp_extract(text, _parts(spare), 0), F.lit(""))
+    return F.coalesce(found(0), found(1))
+
+
+def _number(text: Column, parts: Column, digits: Column) -> Column:
+    padded = F.concat(*[_pad(F.get(F.split(parts, "[^0-9]+"), i), n) for i, n in enumerate(WIDTHS)])
+    plain = F.when(F.length(digits).between(9, DIGITS + 1), _pad(digits, DIGITS)).otherwise(F.nullif(text, F.lit("")))
+    return F.when(parts.isNotNull(), padded).otherwise(plain)
+
+
 def canonical_number(value: Column) -> Column:
-    """The 18 digits of an accession number however it is written; other text trimmed and in capitals; null for blank."""
-    text = F.upper(F.trim(F.regexp_replace(value, r"(?U)\s+", " ")))
-    parts = r"(?<![0-9])([0-9]{1,10})[^0-9A-Za-z]{1,3}([0-9]{1,2})[^0-9A-Za-z]{1,3}([0-9]{1,6})(?![0-9])"
-    dashed = F.concat(*[F.lpad(F.regexp_extract(text, parts, i + 1), n, "0") for i, n in enumerate((10, 2, 6))])
-    digits = F.regexp_replace(F.regexp_replace(text, r"^.*/", ""), "[^0-9]", "")
-    plain = F.when(F.length(digits).between(9, DIGITS), F.lpad(digits, DIGITS, "0")).otherwise(F.nullif(text, F.lit("")))
-    return F.when(text.rlike(parts), dashed).otherwise(plain)
+    """The 18 digits of an accession number however it is written (19 where one is too many); other text trimmed and in capitals; null for blank."""
+    text = _text(value)
+    return _number(text, _parts_in(text), _digits(text))
+
+
+def _bare(parts: Column) -> Column:
+    """Parts between dashes, without their leading zeros."""
+    return F.regexp_replace(parts, "(^|-)0+", "$1")
+
+
+def _typed(number: Column, parts: Column, digits: Column) -> Column:
+    """A number as typed, where that is not its 18 digits: its digits or, if its parts are told apart, the parts without leading zeros; else null."""
+    as_typed = F.when(parts.isNotNull(), F.regexp_replace(parts, "[^0-9]", "")).otherwise(digits)
+    short = _bare(F.regexp_replace(parts, "[^0-9]+", "-"))
+    return F.when(F.length(as_typed).between(3, DIGITS + 3) & ((as_typed != number) | (F.length(number) == DIGITS + 1)), F.when(parts.isNotNull(), short).when(F.length(digits).between(9, DIGITS + 1), digits))
 
 
 def canonical_id(value: Column) -> Column:
@@ -56,48 +101,75 @@ class Fields:
 
 
 def measure(rows: DataFrame, fields: Fields = Fields()) -> DataFrame:
-    """The distance table of some reports: (seq, signal, number, id, agree, d0..dk)."""
-    number = canonical_number(F.col(fields.number))
+    """The distance table of some reports: (seq, signal, number, typed, id, agree, forms), the distances with each form."""
     agree = F.concat_ws("|", *[F.coalesce(F.upper(F.trim(F.col(c).cast("string"))), F.lit("~")) for c in fields.agree])
     base = rows.select(
-        F.col(fields.order).cast("long").alias("seq"), F.coalesce(F.col(fields.signal), F.lit("~")).alias("signal"), number.alias("number"), canonical_id(F.col(fields.id)).alias("id"), agree.alias("agree")
+        F.col(fields.order).cast("long").alias("seq"), F.coalesce(F.col(fields.signal), F.lit("~")).alias("signal"), _text(F.col(fields.number)).alias("text"), canonical_id(F.col(fields.id)).alias("id"), agree.alias("agree")
     )
-    return base.select("*", *_distances())
+    base = base.withColumns({"parts": _parts_in(F.col("text")), "digits": _digits(F.col("text"))}).withColumn("number", _number(F.col("text"), F.col("parts"), F.col("digits")))
+    base = base.select("seq", "signal", "number", _typed(F.col("number"), F.col("parts"), F.col("digits")).alias("typed"), "id", "agree")
+    return base.withColumn("forms", _forms())
 
 
 DIMS = [f"d{k}" for k in range(len(PIVOTS))]
+#: Kinds of forms: the full number, another way to write it, what was typed.
+FULL, WAY, TYPED = "f", "w", "t"
+
+
+def _spelled_forms() -> Column:
+    """array<struct<kind, form>>: the number, the ways it may be written, what was typed.
 
+    Zeros before a number without dashes are taken for left out where there are three, as all filers have them.
+    """
+    n = F.col("number")
+    at, parts = 1, []
+    for width in WIDTHS:
+        parts.append(F.substring(n, at, width))
+        at += width
+    proper = n.rlike(f"^[0-9]{{{DIGITS}}}$")
+    form = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("form"))
+    each = [form(FULL, n), form(WAY, F.when(proper & n.startswith("000"), F.substr(n, F.lit(4)))), form(WAY, F.when(proper, _bare(F.concat_ws("-", *parts)))), form(TYPED, F.col("typed"))]
+    return F.filter(F.array(*each), lambda f: f["form"].isNotNull())
+
+
+def _forms() -> Column:
+    """The forms with their distances to the pivots."""
+    return F.transform(_spelled_forms(), lambda f: F.struct(f["kind"].alias("kind"), f["form"].alias("form"), *[F.levenshtein(f["form"], F.lit(p)).alias(d) for d, p in zip(DIMS, PIVOTS, strict=True)]))
 
-def _distances() -> list[Column]:
-    return [F.levenshtein("number", F.lit(p)).alias(d) for d, p in zip(DIMS, PIVOTS, strict=True)]
+
+def _comparable(a: Column, b: Column) -> Column:
+    """Full numbers with each other, what was typed with the ways of writing the other in full or short."""
+    return ((a == FULL) & (b == FULL)) | ((a == TYPED) != (b == TYPED))
 
 
 def _one_slip(a: Column, b: Column) -> Column:
-    """One edit, or two neighbouring characters swapped."""
-    at = F.sequence(F.lit(1), F.lit(DIGITS - 1))
+    """At most one edit, or two neighbouring characters swapped."""
+    at = F.sequence(F.lit(1), F.greatest(F.length(a) - 1, F.lit(1)))
     swapped = F.exists(at, lambda i: (F.concat(F.substr(a, F.lit(1), i - 1), F.substr(a, i + 1, F.lit(1)), F.substr(a, i, F.lit(1)), F.substr(a, i + 2)) == b))
     distance = F.levenshtein(a, b, RADIUS)
-    return (distance == 1) | ((distance == RADIUS) & (F.length(a) == DIGITS) & (F.length(b) == DIGITS) & swapped)
+    return distance.isin(0, 1) | ((distance == RADIUS) & (F.length(a) == F.length(b)) & swapped)
 
 
 def near(left: DataFrame, right: DataFrame, whole: bool = False) -> DataFrame:
-    """(a, b): the nodes of numbers one slip apart. Both sides hold one row for each (signal, agree, number), with ``node``.
+    """(a, b): the nodes of numbers one slip apart. Both sides hold a row for each (signal, agree, number, typed), with ``node`` and ``forms``.
 
     A range of the first pivot's distance meets its neighbours. Where both sides are the same (``whole``) each pair is
     met from its lower range, so rows go into two ranges instead of three.
     """
     bucket = F.floor(F.col("d0") / (RADIUS + 1))
     ranges = F.array(bucket, bucket + 1) if whole else F.array(bucket - 1, bucket, bucket + 1)
-    near_left = left.filter("number is not null").withColumn("own", bucket).withColumn("bucket", F.explode(ranges))
-    l, r = near_left.alias("l"), right.filter("number is not null").withColumn("bucket", bucket).alias("r")
+    each = lambda df: df.select("signal", "agree", "node", F.inline("forms"))
+    near_left = each(left).withColumn("own", bucket).withColumn("bucket", F.explode(ranges))
+    l, r = near_left.alias("l"), each(right).withColumn("bucket", bucket).alias("r")
     if whole:
         r = r.hint("merge")  # a written table looks smaller than it is; neither side has a bound
-    on = (F.col("l.agree") == F.col("r.agree")) & (F.col("l.signal") == F.col("r.signal")) & (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.number") != F.col("r.number"))
+    on = (F.col("l.agree") == F.col("r.agree")) & (F.col("l.signal") == F.col("r.signal")) & (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.node") != F.col("r.node"))
+    on &= _comparable(F.col("l.kind"), F.col("r.kind"))
     if whole:
-        on &= (F.col("l.own") < F.col("r.bucket")) | (F.col("l.number") < F.col("r.number"))
+        on &= (F.col("l.own") < F.col("r.bucket")) | (F.col("l.node") < F.col("r.node"))
     for d in DIMS:
         on &= F.abs(F.col(f"l.{d}") - F.col(f"r.{d}")) <= RADIUS
-    return l.join(r, on).filter(_one_slip(F.col("l.number"), F.col("r.number"))).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+    return l.join(r, on).filter(_one_slip(F.col("l.form"), F.col("r.form"))).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
 
 
 #: A group of agreeing fields with more numbers than this is linked by patterns: pairs in it would grow with its square.
@@ -109,19 +181,26 @@ def crowd_links(spelled: DataFrame) -> DataFrame:
 
     Numbers that differ in one digit share the pattern with that digit blanked, neighbours that are swapped share the
     pattern with the two in order, a number with a digit too few equals the longer one less that digit. Whoever shares a
-    pattern is linked to the first that has it, so a number costs its patterns, not its neighbours.
+    pattern is linked to the first that has it, so a number costs its patterns, not its neighbours. Full numbers share
+    patterns with each other; a pattern of what was typed and of ways to write links all its nodes if it has both.
     """
+    forms = spelled.select("signal", "agree", "node", F.inline(_spelled_forms())).withColumnRenamed("form", "number")
     n = F.col("number")
     cut = lambda i, k, mid: F.concat(F.substr(n, F.lit(1), i - 1), mid, F.substr(n, i + k))
     at, pairs = F.sequence(F.lit(1), F.length(n)), F.sequence(F.lit(1), F.greatest(F.length(n) - 1, F.lit(1)))
     one = lambda i: F.substr(n, i, F.lit(1))
     blanked = F.transform(at, lambda i: F.concat(F.lit("b"), cut(i, 1, F.lit("?"))))
     ordered = F.transform(pairs, lambda i: F.concat(F.lit("s"), i.cast("string"), F.lit(":"), cut(i, 2, F.concat(F.least(one(i), one(i + 1)), F.greatest(one(i), one(i + 1))))))
-    shared = spelled.select("signal", "agree", "node", F.explode(F.array_distinct(F.concat(blanked, ordered))).alias("pattern"))
-    first = shared.groupBy("signal", "agree", "pattern").agg(F.min("node").alias("b"), F.max("node").alias("top")).filter("b < top").drop("top")
-    alike = shared.join(first.hint("merge"), ["signal", "agree", "pattern"]).filter("node <> b").select(F.col("node").alias("a"), "b")
-    shorter = spelled.select("signal", "agree", F.col("node").alias("a"), F.explode(F.array_distinct(F.transform(at, lambda i: cut(i, 1, F.lit(""))))).alias("number"))
-    missing = shorter.join(spelled.select("signal", "agree", "number", F.col("node").alias("b")).hint("merge"), ["signal", "agree", "number"]).select("a", "b")
+    shared = forms.select("signal", "agree", "node", "kind", F.explode(F.array_distinct(F.concat(blanked, ordered))).alias("pattern"))
+
+    def linked(members: DataFrame, least: Column) -> DataFrame:
+        first = members.groupBy("signal", "agree", "pattern").agg(F.min("node").alias("b"), F.max("node").alias("top"), least.alias("kinds")).filter("b < top and kinds").drop("top", "kinds")
+        return members.join(first.hint("merge"), ["signal", "agree", "pattern"]).filter("node <> b").select(F.col("node").alias("a"), "b")
+
+    alike = linked(shared.filter(F.col("kind") == FULL), F.lit(True)).unionByName(linked(shared, F.bool_or(F.col("kind") == TYPED) & F.bool_or(F.col("kind") != TYPED)))
+    shorter = forms.select("signal", "agree", "kind", F.col("node").alias("a"), F.explode(F.array_distinct(F.transform(at, lambda i: cut(i, 1, F.lit(""))))).alias("number"))
+    longer = forms.select("signal", "agree", "number", F.col("kind").alias("other"), F.col("node").alias("b")).hint("merge")
+    missing = shorter.join(longer, ["signal", "agree", "number"]).filter(_comparable(F.col("kind"), F.col("other")) & (F.col("a") != F.col("b"))).select("a", "b")
     return alike.unionByName(missing).distinct()
 
 
@@ -140,12 +219,12 @@ def repeats(measured: DataFrame, stored: bool = False, crowd: int = CROWD) -> Da
     unless their distances are ``stored`` already, measured only then. Groups of more than ``crowd`` numbers are linked
     by patterns instead, with the same result.
     """
-    rows = land(_nodes(measured if stored else measured.drop(*DIMS)), "nodes")
+    rows = land(_nodes(measured if stored else measured.drop("forms")), "nodes")
     hashed = F.xxhash64("number")
     several = rows.filter("number is not null").groupBy("signal", "agree").agg(F.min(hashed).alias("lo"), F.max(hashed).alias("hi"), F.approx_count_distinct("number").alias("numbers")).filter("lo <> hi").select("signal", "agree", (F.col("numbers") > crowd).alias("crowd"))
     compared = rows.filter("number is not null").join(several.hint("merge"), ["signal", "agree"])
-    spelled = compared.groupBy("signal", "agree", "number", "crowd", *(DIMS if stored else [])).agg(F.min("node").alias("node"))
-    spelled = land(spelled if stored else spelled.select("*", *_distances()), "spelled")
+    spelled = compared.groupBy("signal", "agree", "number", "typed", "crowd").agg(F.min("node").alias("node"), *([F.first("forms").alias("forms")] if stored else []))
+    spelled = land(spelled if stored else spelled.withColumn("forms", F.when(~F.col("crowd"), _forms())), "spelled")
     same_id = rows.filter("id is not null").groupBy("id", "signal").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a < top").drop("top")
     # only ids that more than one number carries make links; they join back to their few rows
     by_id = rows.filter("id is not null").select("id", "signal", F.col("node").alias("b")).join(same_id.hint("merge"), ["id", "signal"]).filter("a <> b").select("a", "b")
@@ -177,7 +256,7 @@ class DistanceTable:
         pool = new
         if old is not None:
             old = old.filter(F.col("batch") != name).drop("batch")
-            as_node = lambda df: df.groupBy("signal", "agree", "number", *DIMS).agg(F.min("seq").alias("node"))
+            as_node = lambda df: df.filter("number is not null").groupBy("signal", "agree", "number", "typed").agg(F.min("seq").alias("node"), F.first("forms").alias("forms"))
             slipped = near(as_node(new), as_node(old)).select(F.col("b").alias("seq"))
             shared = [old.join(new.select(c, "signal").filter(f"{c} is not null").distinct(), [c, "signal"], "left_semi").select("seq") for c in ("number", "id")]
             touched = shared[0].union(shared[1]).union(slipped).distinct()
