@@ -146,3 +146,12 @@ def test_padding_makes_no_slip(spark, crowd):
     data = [(2 * k + side, f"{2 * k + side:x}a", n, "x", k, "8-K", D) for k, p in enumerate(pairs) for side, n in enumerate(p)]
     got = {(r.kept_seq, r.dup_seq) for r in batches.repeats(batches.measure(rows(spark, data)), crowd=crowd).collect()}
     assert got == {(0, 2), (1, 3), (4, 6)}  # the same numbers, however written
+
+
+def test_a_batch_that_joins_two_accepted_filings(spark, tmp_path):
+    x, y = "0009003554-23-000040", "0009003999-23-000777"
+    data = [(1, "a", x, "x", 7, "8-K", D), (2, "b", y, "x", 7, "8-K", D), (3, "b", x, "x", 7, "8-K", D), (4, "d", y, "x", 7, "8-K", D)]
+    store = batches.DistanceTable(spark, str(tmp_path / "history"))
+    got = [{(r.kept_seq, r.dup_seq) for r in store.accept(rows(spark, part), name).collect()} for name, part in (("1", data[:2]), ("2", data[2:3]), ("2", data[2:3]), ("3", data[3:]))]
+    assert got == [set(), {(1, 2), (1, 3)}, {(1, 2), (1, 3)}, {(1, 4)}]
+    assert set().union(*got) == links(rows(spark, data))

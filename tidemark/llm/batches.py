@@ -236,33 +236,54 @@ def repeats(measured: DataFrame, stored: bool = False, crowd: int = CROWD) -> Da
 
 
 class DistanceTable:
-    """The accepted history on disk, one folder for each batch; a batch that is accepted again replaces itself."""
+    """The accepted history on disk, one folder for each batch; a batch that is accepted again replaces itself.
+
+    Rows keep the first row of their filing as it was when they came. Where a later batch joins two filings it writes
+    down which first row gave way to which, in a folder of its own beside the rows.
+    """
 
     def __init__(self, spark: SparkSession, path: str, fields: Fields = Fields()):
-        self.spark, self.path, self.fields = spark, path, fields
+        self.spark, self.path, self.fields = spark, path.rstrip("/"), fields
+
+    def _exists(self, path: str) -> bool:
+        fs_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return fs_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(fs_path)
 
     def history(self) -> DataFrame | None:
-        fs_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = fs_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return self.spark.read.parquet(self.path) if fs.exists(fs_path) else None
+        return self.spark.read.parquet(self.path) if self._exists(self.path) else None
+
+    def _roots_now(self, old: DataFrame, name: str) -> DataFrame:
+        """The history with the first rows as they are after all joins so far."""
+        if not self._exists(f"{self.path}_joins"):
+            return old
+        joins = self.spark.read.schema("root long, kept_seq long, batch string").parquet(f"{self.path}_joins").filter(F.col("batch") != name)
+        now = components(joins.select(F.col("root").alias("a"), F.col("kept_seq").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("now"))
+        return old.join(now.hint("merge"), "root", "left").withColumn("root", F.coalesce("now", "root")).drop("now")
 
     def accept(self, batch: DataFrame, name: str) -> DataFrame:
         """Links (kept_seq, dup_seq) of a batch against history and itself; the batch is then part of the history.
 
-        Of the history only the rows that share a number, an id or a range of pivot distances with the batch are met.
+        Of the history only the filings that share a number, an id or a range of pivot distances with the batch are met.
+        Older rows whose first row is another one now, as the batch joins their filings, are linked anew.
         """
         new = land(measure(batch, self.fields), "batch")
         old = self.history()
+        before = new.select("seq", F.col("seq").alias("root")).limit(0)
         pool = new
         if old is not None:
-            old = old.filter(F.col("batch") != name).drop("batch")
+            old = self._roots_now(old.filter(F.col("batch") != name).drop("batch"), name)
             as_node = lambda df: df.filter("number is not null").groupBy("signal", "agree", "number", "typed").agg(F.min("seq").alias("node"), F.first("forms").alias("forms"))
             slipped = near(as_node(new), as_node(old)).select(F.col("b").alias("seq"))
             shared = [old.join(new.select(c, "signal").filter(f"{c} is not null").distinct(), [c, "signal"], "left_semi").select("seq") for c in ("number", "id")]
             touched = shared[0].union(shared[1]).union(slipped).distinct()
             known = old.join(touched, "seq", "left_semi").select("root").distinct()
-            pool = new.unionByName(old.join(known, "root", "left_semi").select(new.columns))
+            met = land(old.join(known, "root", "left_semi"), "met")
+            before = met.select("seq", "root")
+            pool = new.unionByName(met.select(new.columns))
         links = land(repeats(pool, stored=True), "links")
+        moved = land(before.join(links.select(F.col("dup_seq").alias("seq"), "kept_seq"), "seq").filter("root <> kept_seq"), "moved")
         rooted = new.join(links.select(F.col("dup_seq").alias("seq"), F.col("kept_seq").alias("root")), "seq", "left").withColumn("root", F.coalesce("root", "seq"))
         rooted.write.mode("overwrite").parquet(f"{self.path}/batch={name}")
-        return links.join(new.select(F.col("seq").alias("dup_seq")), "dup_seq", "left_semi").select("kept_seq", "dup_seq")
+        moved.select("root", "kept_seq").distinct().write.mode("overwrite").parquet(f"{self.path}_joins/batch={name}")
+        dups = new.select(F.col("seq").alias("dup_seq")).unionByName(moved.select(F.col("seq").alias("dup_seq")))
+        return links.join(dups, "dup_seq", "left_semi").select("kept_seq", "dup_seq")
