@@ -118,3 +118,19 @@ def test_resolution(spark):
 
 def test_resolution_of_nothing(spark):
     assert resolve.resolve(spark.createDataFrame([], "name string"), "name").filter(F.lit(True)).collect() == []
+
+
+def test_names_of_given_words_share_a_key():
+    typed = ["Robert A. Thomas, CPA", "Bob Thomas", "Bob Tom", "Robert Thomaz", "R. Thomas", "Robert T.", "J. Francis", "John Francis", "Jack Francis", "Fohn Jrancis", "Ray Kim", "Raymond Kimberly", "Henry Lawrence", "Larry Henry", "Enry Lawrence", "Ehnry Alwrence"]
+    typed += ["William Varnumere", "Eilliam Varnumere", "Eilliam Barnumere", "Iwlliam Avrnumere", "William Varnum K.", "William V. Kester", "Varnumere Bill"]
+    words = ["robert", "bob", "thomas", "tom", "frank", "francis", "jack", "john", "ohn", "kim", "varnumere", "arnumere", "a", "t", "r"]
+    tokens = {names.parts(n)[0] for n in typed} | set(itertools.permutations(words, 2)) | set(itertools.permutations(words[:6] + words[-3:], 3))
+    keys = {t: names.block_keys(t) for t in tokens}
+    accepted = [(a, b) for a, b in itertools.combinations(sorted(tokens), 2) if names.same_name(a, b)]
+    assert len(accepted) > 1_000 and not [p for p in accepted if not keys[p[0]] & keys[p[1]]]
+
+
+def test_resolution_of_given_words(spark):
+    groups = [["Robert A. Thomas, CPA", "Bob Thomas"], ["J. Francis", "John Francis"], ["Eilliam Varnumere", "William Varnumere"]]
+    df = spark.createDataFrame([(n,) for g in groups for n in g], "name string")
+    assert {(r.name_a, r.name_b) for r in resolve.pairs(resolve.resolve(df, "name")).collect()} == {tuple(sorted(g)) for g in groups}

@@ -35,7 +35,6 @@ SHORT_NAMES = {
     "sasha": "alexandra alexander", "steve": "steven stephen", "stu": "stuart", "sue": "susan", "susie": "susan", "ted": "theodore edward", "terry": "terence theresa", "theo": "theodore", "tim": "timothy",
     "tom": "thomas", "tony": "anthony", "trish": "patricia", "val": "valerie", "vicky": "victoria", "vicki": "victoria", "vince": "vincent", "walt": "walter", "will": "william", "zach": "zachary",
 }
-GIVEN = frozenset(SHORT_NAMES) | {full for fulls in SHORT_NAMES.values() for full in fulls.split()}
 
 _dotted = re.compile(r"\b(?:[a-z]\.){2,}")
 _former = re.compile(r"\(\s*(?:formerly|f/k/a|fka)\s+([^)]*)\)")
@@ -191,14 +190,23 @@ def cut_variants(token: str) -> list[str]:
     return [token, *{token[:i] + token[i + 1 :] for i in range(len(token))}]
 
 
+def _heads(token: str) -> list[str]:
+    """The token, and less its first or second character: two tokens one edit apart that begin differently share one of these."""
+    return [token, token[1:], token[:1] + token[2:]] if len(token) >= 4 else [token]
+
+
 def block_keys(tokens: tuple[str, ...]) -> set[str]:
-    """Keys of which two names that ``same_name`` accepts share one: a word less a character beside another word's first letter."""
+    """Keys of which two names that ``same_name`` accepts share one: a word less a character, or the given name it is short for,
+    beside another word's first letter; where slips change the first letters of both words, the two words less a letter at the front.
+    """
     keys = {"run " + "".join(tokens)}
     for i, t in enumerate(tokens):
-        if len(t) < 2 or (t in GIVEN and len(tokens) > 1):
+        if len(t) < 2:
             continue
-        variants = cut_variants(t) if len(t) >= 4 else [t]
+        variants = {*(cut_variants(t) if len(t) >= 4 else [t]), *SHORT_NAMES.get(t, "").split()}
         for j, u in enumerate(tokens):
             if i != j:
                 keys.update(f"{v} {x}" for v in variants for x in letters_of(u))
+            if i < j and len(t) >= 4 and len(u) >= 4:
+                keys.update("both " + " ".join(sorted((v, w))) for v in _heads(t) for w in _heads(u))
     return keys
