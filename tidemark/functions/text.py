@@ -72,14 +72,16 @@ def drop_sentences(text: Column, pattern: str) -> Column:
 
 #: What changes from one report to the next without meaning.
 _MONTHS = "january|february|march|april|may|june|july|august|september|october|november|december"
+#: Ends of words spelled out: Java's own take an accent that stands by itself for a part of the word.
+_BEFORE, _AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 
 
 def normalise_for_diff(text: Column) -> Column:
     """Lower-case words only: figures, months and quarter names are dropped."""
     t = F.lower(text)
     t = F.regexp_replace(t, r"\b\d[\d,.]*\b", " ")
-    t = F.regexp_replace(t, rf"\b({_MONTHS})\b", " ")
-    t = F.regexp_replace(t, r"\b(first|second|third|fourth)\s+quarter\b", " ")
+    t = F.regexp_replace(t, rf"{_BEFORE}({_MONTHS}){_AFTER}", " ")
+    t = F.regexp_replace(t, rf"{_BEFORE}(first|second|third|fourth)(?:(?U:\s)|[\x1c-\x1f])+quarter{_AFTER}", " ")
     return F.trim(F.regexp_replace(F.regexp_replace(t, "[^a-z ]+", " "), " +", " "))
 
 

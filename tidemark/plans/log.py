@@ -377,6 +377,12 @@ def quotes_without_figures(spark, sf):
     return _log(spark, sf).filter(F.col("quote").rlike(r"^[\x00-\x7f]*$")).select("seq", text.normalise_for_diff(F.col("quote")).alias("plain"))
 
 
+@query()
+def all_quotes_without_figures(spark, sf):
+    """The same of all quotes, whatever their characters."""
+    return _log(spark, sf).filter("quote is not null").select("seq", text.normalise_for_diff(F.col("quote")).alias("plain"))
+
+
 @query("""
 SELECT seq, len(q) - CASE WHEN contains(q, 'report') THEN instr(reverse(q), 'troper') + 5 ELSE len(q) + 1 END AS at FROM (SELECT seq, quote AS q FROM disclosures WHERE quote IS NOT NULL)
 """)
