@@ -104,6 +104,13 @@ def sentence_counts(spark, sf):
     return d.select("doc_id", F.size(F.filter(F.split(plain, r"\. "), lambda s: s != "")).alias("pieces"))
 
 
+@query(r"SELECT doc_id, len(list_filter(string_split_regex(trim(regexp_replace(text, '[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')), '\. '), lambda s: s <> ''))::INT AS pieces FROM documents WHERE text IS NOT NULL")
+def all_sentence_counts(spark, sf):
+    """The same of all texts, blanks of every kind apart."""
+    d = _docs(spark, sf).filter("text is not null")
+    return d.select("doc_id", F.size(F.filter(F.split(text.collapse(F.col("text")), r"\. "), lambda s: s != "")).alias("pieces"))
+
+
 @query()
 def periodic_changes(spark, sf):
     """State changes between each text and its comparable text before."""
