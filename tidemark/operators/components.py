@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.session import cut
+from tidemark.session import land
 
 ROUNDS = 40
 
 
-def _mark(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("x")).first()
-    return row.n, row.x
+def _landed(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The edges written as a table, and a mark of what they are, taken as they are written."""
+    seen = Observation()
+    done = land(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("x")), "edges")
+    return done, (seen.get["n"], seen.get["x"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,8 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
     longest path; a run that does not settle in ``ROUNDS`` raises rather than return a half-joined result.
     """
     e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a is not null and b is not null and a <> b").distinct()
-    e = cut(e)
-    mark = _mark(e)
+    e, mark = _landed(e)
     for _ in range(ROUNDS):
         if not mark[0]:
             break
@@ -33,8 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         small = moved.unionByName(down.select("a", F.col("m").alias("b"))).distinct()
-        e = cut(small)
-        before, mark = mark, _mark(e)
+        before = mark
+        e, mark = _landed(small)
         if before == mark:
             break
     else:

@@ -90,18 +90,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def forget_later(spark: SparkSession, stem: str) -> str:
+    """A new path from ``stem`` that is removed when the session ends, or by ``sweep``."""
+    path = f"{stem}-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def land(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again: lineage is cut, the columns stay prunable."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
+    path = forget_later(spark, f"{shared_dir(spark)}/tidemark-{name}")
     df.write.parquet(path)
-    _WRITTEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 @atexit.register
-def _sweep() -> None:
-    for spark, path in _WRITTEN:
+def sweep() -> None:
+    """Remove what was landed so far. A long-lived session calls it when no result read from there is needed any more."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
         try:
             jvm = spark.sparkContext._jvm
             where = jvm.org.apache.hadoop.fs.Path(path)
