@@ -1,14 +1,16 @@
 """Duplicates of new batches against everything accepted before.
 
-Each report is kept in a distance table: its number in canonical digits and the edit distances from that number to
-a few fixed pivot numbers. An edit distance is a metric, so two numbers within a slip of each other lie within
-``RADIUS`` of each other from every pivot; a batch meets the history only in the ranges of the first pivot's
-distance that are near enough, the other pivots prune the rest, and the true distance decides. Rows are appended
-with their distances, which are never computed again.
+Each report is kept in a distance table: the forms its number may be written in and, with each form, the edit
+distances to a few fixed pivots. Pivot k is the digit k repeated, so a form's distance to it follows from its length
+and how often it holds that digit. With a swap of neighbours counted as one edit the distance is a metric: two forms one slip
+apart lie at most ``RADIUS`` apart from every pivot. A batch meets the history in ranges of the first pivot's distance, the
+triangle inequality on the others prunes, and what is left is verified by the true distance. Rows are appended with
+their distances, which are never computed again, in buckets of their number, their id and their range; a batch reads
+only the buckets it touches.
 
 The same filing and signal is: the same number however it is written, the same id however it is written, or a
 number one slip of the keyboard apart (a digit changed, left out, doubled, or two neighbours swapped) where the
-agreeing fields agree, two nulls agreeing. A chain of such rows is one filing; its first row is the one kept.
+agreeing fields are known and agree. A chain of such rows is one filing; its first row is the one kept.
 A row whose number and id are both null or blank repeats nothing.
 
 Slips are looked for between the full numbers and, as padding would hide a digit left out or doubled, between a number
@@ -23,13 +25,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.components import components
-from tidemark.session import land
+from tidemark.session import forget_later, land, shared_dir
 
 DIGITS = 18
-#: A changed, missing or added digit is one edit, two swapped neighbours are two.
-RADIUS = 2
-#: Pivot k repeats the digits 0, k, 2k, ... modulo ten.
-PIVOTS = tuple("".join(str(i * k % 10) for i in range(DIGITS)) for k in (0, 1, 3))
+#: A changed, missing or added digit is one edit, and so are two swapped neighbours.
+RADIUS = 1
+#: Pivot k repeats the digit k. Four of them bound the cells of a range, whatever the rows.
+PIVOTS = tuple(k * DIGITS for k in "0123")
+#: Buckets of each index of the history: what a small batch reads of it is its share of these.
+BUCKETS = 8
+#: Width of a range of the first pivot's distance; a form meets its own range and the two beside it.
+WIDTH = 2
 
 
 #: Digits of the three parts of a number.
@@ -101,10 +107,16 @@ class Fields:
 
 
 def measure(rows: DataFrame, fields: Fields = Fields()) -> DataFrame:
-    """The distance table of some reports: (seq, signal, number, typed, id, agree, forms), the distances with each form."""
-    agree = F.concat_ws("|", *[F.coalesce(F.upper(F.trim(F.col(c).cast("string"))), F.lit("~")) for c in fields.agree])
+    """The distance table of some reports: (seq, signal, number, typed, id, agree, forms), the distances with each form.
+
+    ``agree`` is null where an agreeing field is: what is not known agrees with nothing.
+    """
+    agree = F.concat_ws("|", *[F.upper(F.trim(F.col(c).cast("string"))) for c in fields.agree])
+    known = F.lit(True)
+    for c in fields.agree:
+        known = known & F.col(c).isNotNull()
     base = rows.select(
-        F.col(fields.order).cast("long").alias("seq"), F.coalesce(F.col(fields.signal), F.lit("~")).alias("signal"), _text(F.col(fields.number)).alias("text"), canonical_id(F.col(fields.id)).alias("id"), agree.alias("agree")
+        F.col(fields.order).cast("long").alias("seq"), F.coalesce(F.col(fields.signal), F.lit("~")).alias("signal"), _text(F.col(fields.number)).alias("text"), canonical_id(F.col(fields.id)).alias("id"), F.when(known, agree).alias("agree")
     )
     base = base.withColumns({"parts": _parts_in(F.col("text")), "digits": _digits(F.col("text"))}).withColumn("number", _number(F.col("text"), F.col("parts"), F.col("digits")))
     base = base.select("seq", "signal", "number", _typed(F.col("number"), F.col("parts"), F.col("digits")).alias("typed"), "id", "agree")
@@ -132,9 +144,15 @@ def _spelled_forms() -> Column:
     return F.filter(F.array(*each), lambda f: f["form"].isNotNull())
 
 
+def pivot_distance(form: Column, pivot: str) -> Column:
+    """The edit distance of a text to a repeated character: all of the longer one but the characters that are the pivot's."""
+    n = F.length(form)
+    return F.greatest(n, F.lit(len(pivot))) - F.least(n - F.length(F.replace(form, F.lit(pivot[0]), F.lit(""))), F.lit(len(pivot)))
+
+
 def _forms() -> Column:
     """The forms with their distances to the pivots."""
-    return F.transform(_spelled_forms(), lambda f: F.struct(f["kind"].alias("kind"), f["form"].alias("form"), *[F.levenshtein(f["form"], F.lit(p)).alias(d) for d, p in zip(DIMS, PIVOTS, strict=True)]))
+    return F.transform(_spelled_forms(), lambda f: F.struct(f["kind"].alias("kind"), f["form"].alias("form"), *[pivot_distance(f["form"], p).alias(d) for d, p in zip(DIMS, PIVOTS, strict=True)]))
 
 
 def _comparable(a: Column, b: Column) -> Column:
@@ -146,144 +164,196 @@ def _one_slip(a: Column, b: Column) -> Column:
     """At most one edit, or two neighbouring characters swapped."""
     at = F.sequence(F.lit(1), F.greatest(F.length(a) - 1, F.lit(1)))
     swapped = F.exists(at, lambda i: (F.concat(F.substr(a, F.lit(1), i - 1), F.substr(a, i + 1, F.lit(1)), F.substr(a, i, F.lit(1)), F.substr(a, i + 2)) == b))
-    distance = F.levenshtein(a, b, RADIUS)
-    return distance.isin(0, 1) | ((distance == RADIUS) & (F.length(a) == F.length(b)) & swapped)
+    distance = F.levenshtein(a, b, 2)
+    return distance.isin(0, 1) | ((distance == 2) & (F.length(a) == F.length(b)) & swapped)
+
 
+GROUP = ["signal", "agree"]
 
-def near(left: DataFrame, right: DataFrame, whole: bool = False) -> DataFrame:
-    """(a, b): the nodes of numbers one slip apart. Both sides hold a row for each (signal, agree, number, typed), with ``node`` and ``forms``.
 
-    A range of the first pivot's distance meets its neighbours. Where both sides are the same (``whole``) each pair is
-    met from its lower range, so rows go into two ranges instead of three.
+def _range() -> Column:
+    return F.floor(F.col("d0") / WIDTH)
+
+
+def near_cells(pool: DataFrame) -> DataFrame:
+    """(signal, agree, kind, d0, ...): the cells of forms that have a comparable form, one of the two new, within the radius on every pivot.
+
+    ``pool`` has a row for each form, with ``fresh``. Forms of equal distances are one cell, so what is joined is bounded for
+    each group by the values the distances can take, not by its rows. A range meets the ranges beside it.
     """
-    bucket = F.floor(F.col("d0") / (RADIUS + 1))
-    ranges = F.array(bucket, bucket + 1) if whole else F.array(bucket - 1, bucket, bucket + 1)
-    each = lambda df: df.select("signal", "agree", "node", F.inline("forms"))
-    near_left = each(left).withColumn("own", bucket).withColumn("bucket", F.explode(ranges))
-    l, r = near_left.alias("l"), each(right).withColumn("bucket", bucket).alias("r")
-    if whole:
-        r = r.hint("merge")  # a written table looks smaller than it is; neither side has a bound
-    on = (F.col("l.agree") == F.col("r.agree")) & (F.col("l.signal") == F.col("r.signal")) & (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.node") != F.col("r.node"))
-    on &= _comparable(F.col("l.kind"), F.col("r.kind"))
-    if whole:
-        on &= (F.col("l.own") < F.col("r.bucket")) | (F.col("l.node") < F.col("r.node"))
+    cells = pool.groupBy(*GROUP, "kind", *DIMS).agg(F.count(F.lit(1)).alias("n"), F.bool_or("fresh").alias("fresh"))
+    l = cells.withColumn("range", F.explode(F.array(_range() - 1, _range(), _range() + 1))).alias("l")
+    r = cells.withColumn("range", _range()).hint("merge").alias("r")
+    on = F.lit(True)
+    for c in [*GROUP, "range"]:
+        on &= F.col(f"l.{c}") == F.col(f"r.{c}")
+    same = F.col("l.kind") == F.col("r.kind")
     for d in DIMS:
         on &= F.abs(F.col(f"l.{d}") - F.col(f"r.{d}")) <= RADIUS
-    return l.join(r, on).filter(_one_slip(F.col("l.form"), F.col("r.form"))).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
-
+        same &= F.col(f"l.{d}") == F.col(f"r.{d}")
+    on &= _comparable(F.col("l.kind"), F.col("r.kind")) & (F.col("l.fresh") | F.col("r.fresh")) & (~same | (F.col("l.n") > 1))
+    return l.join(r, on, "left_semi").select(*GROUP, "kind", *DIMS).distinct()
 
-#: A group of agreeing fields with more numbers than this is linked by patterns: pairs in it would grow with its square.
-CROWD = 1_000
 
+def slips(pool: DataFrame) -> DataFrame:
+    """(a, b): links that join all nodes of forms one slip apart. ``pool`` is (signal, agree, kind, form, d0, ..., node, fresh), a row for each form.
 
-def crowd_links(spelled: DataFrame) -> DataFrame:
-    """(a, b): links that join all numbers one slip apart within very large groups, without meeting in pairs.
-
-    Numbers that differ in one digit share the pattern with that digit blanked, neighbours that are swapped share the
-    pattern with the two in order, a number with a digit too few equals the longer one less that digit. Whoever shares a
-    pattern is linked to the first that has it, so a number costs its patterns, not its neighbours. Full numbers share
-    patterns with each other; a pattern of what was typed and of ways to write links all its nodes if it has both.
+    Only groups with several numbers, at least one of them new, are looked at, and of these only the cells that
+    ``near_cells`` leaves. Numbers that differ in one digit share the pattern with that digit blanked, neighbours that are swapped share
+    the pattern with the two in order, a number with a digit too few equals the longer one less that digit. Whoever shares
+    a pattern meets the first that has it and is verified against it, so a number costs its patterns, not its neighbours, and groups of
+    any size take the same way. Full numbers share patterns with each other; a pattern of what was typed and of ways
+    to write links all its nodes if it has both.
     """
-    forms = spelled.select("signal", "agree", "node", F.inline(_spelled_forms())).withColumnRenamed("form", "number")
-    n = F.col("number")
+    full = F.when(F.col("kind") == FULL, F.xxhash64("form"))
+    several = pool.groupBy(*GROUP).agg(F.min(full).alias("lo"), F.max(full).alias("hi"), F.bool_or("fresh").alias("fresh")).filter("lo <> hi and fresh").select(*GROUP)
+    pool = land(pool.join(several.hint("merge"), GROUP, "left_semi"), "several")
+    forms = land(pool.join(near_cells(pool).hint("merge"), [*GROUP, "kind", *DIMS], "left_semi").select(*GROUP, "kind", "form", "node"), "near")
+    n = F.col("form")
     cut = lambda i, k, mid: F.concat(F.substr(n, F.lit(1), i - 1), mid, F.substr(n, i + k))
     at, pairs = F.sequence(F.lit(1), F.length(n)), F.sequence(F.lit(1), F.greatest(F.length(n) - 1, F.lit(1)))
     one = lambda i: F.substr(n, i, F.lit(1))
-    blanked = F.transform(at, lambda i: F.concat(F.lit("b"), cut(i, 1, F.lit("?"))))
-    ordered = F.transform(pairs, lambda i: F.concat(F.lit("s"), i.cast("string"), F.lit(":"), cut(i, 2, F.concat(F.least(one(i), one(i + 1)), F.greatest(one(i), one(i + 1))))))
-    shared = forms.select("signal", "agree", "node", "kind", F.explode(F.array_distinct(F.concat(blanked, ordered))).alias("pattern"))
+    named = lambda mark, i, body: F.concat(F.lit(mark), i.cast("string"), F.lit(":"), body)
+    blanked = F.transform(at, lambda i: named("b", i, cut(i, 1, F.lit("?"))))
+    ordered = F.transform(pairs, lambda i: named("s", i, cut(i, 2, F.concat(F.least(one(i), one(i + 1)), F.greatest(one(i), one(i + 1))))))
+    shared = forms.select(*GROUP, "node", "kind", "form", F.explode(F.concat(blanked, ordered)).alias("pattern"))
+    by = [*GROUP, "pattern"]
 
     def linked(members: DataFrame, least: Column) -> DataFrame:
-        first = members.groupBy("signal", "agree", "pattern").agg(F.min("node").alias("b"), F.max("node").alias("top"), least.alias("kinds")).filter("b < top and kinds").drop("top", "kinds")
-        return members.join(first.hint("merge"), ["signal", "agree", "pattern"]).filter("node <> b").select(F.col("node").alias("a"), "b")
+        first = members.groupBy(*by).agg(F.min(F.struct("node", "form")).alias("b"), F.max("node").alias("top"), least.alias("kinds")).filter("b.node < top and kinds").select(*by, "b")
+        met = members.join(first.hint("merge"), by).filter("node <> b.node")
+        return met.filter(_one_slip(F.col("form"), F.col("b.form"))).select(F.col("node").alias("a"), F.col("b.node").alias("b"))
 
     alike = linked(shared.filter(F.col("kind") == FULL), F.lit(True)).unionByName(linked(shared, F.bool_or(F.col("kind") == TYPED) & F.bool_or(F.col("kind") != TYPED)))
-    shorter = forms.select("signal", "agree", "kind", F.col("node").alias("a"), F.explode(F.array_distinct(F.transform(at, lambda i: cut(i, 1, F.lit(""))))).alias("number"))
-    longer = forms.select("signal", "agree", "number", F.col("kind").alias("other"), F.col("node").alias("b")).hint("merge")
-    missing = shorter.join(longer, ["signal", "agree", "number"]).filter(_comparable(F.col("kind"), F.col("other")) & (F.col("a") != F.col("b"))).select("a", "b")
+    shorter = forms.select(*GROUP, "kind", F.col("node").alias("a"), F.explode(F.array_distinct(F.transform(at, lambda i: cut(i, 1, F.lit(""))))).alias("form"))
+    longer = forms.select(*GROUP, "form", F.col("kind").alias("other"), F.col("node").alias("b")).hint("merge")
+    missing = shorter.join(longer, [*GROUP, "form"]).filter(_comparable(F.col("kind"), F.col("other")) & (F.col("a") != F.col("b"))).select("a", "b")
     return alike.unionByName(missing).distinct()
 
 
-def _nodes(measured: DataFrame) -> DataFrame:
-    """Each row with ``node``: the first row of the same number and signal (of the same id where the number is null)."""
-    key = F.coalesce(F.concat(F.lit("n"), F.col("number")), F.concat(F.lit("i"), F.col("id")), F.concat(F.lit("s"), F.col("seq").cast("string")))
-    keyed = measured.withColumn("key", key)
-    first = keyed.groupBy("key", "signal").agg(F.min("seq").alias("node"))
-    return keyed.join(first.hint("merge"), ["key", "signal"])
-
-
-def repeats(measured: DataFrame, stored: bool = False, crowd: int = CROWD) -> DataFrame:
-    """(kept_seq, dup_seq) over a whole distance table: every row that repeats an earlier one, with the first of its filing.
-
-    Only rows whose agreeing fields stand with more than one number can be a slip apart; these few are compared, and
-    unless their distances are ``stored`` already, measured only then. Groups of more than ``crowd`` numbers are linked
-    by patterns instead, with the same result.
-    """
-    rows = land(_nodes(measured if stored else measured.drop("forms")), "nodes")
-    hashed = F.xxhash64("number")
-    several = rows.filter("number is not null").groupBy("signal", "agree").agg(F.min(hashed).alias("lo"), F.max(hashed).alias("hi"), F.approx_count_distinct("number").alias("numbers")).filter("lo <> hi").select("signal", "agree", (F.col("numbers") > crowd).alias("crowd"))
-    compared = rows.filter("number is not null").join(several.hint("merge"), ["signal", "agree"])
-    spelled = compared.groupBy("signal", "agree", "number", "typed", "crowd").agg(F.min("node").alias("node"), *([F.first("forms").alias("forms")] if stored else []))
-    spelled = land(spelled if stored else spelled.withColumn("forms", F.when(~F.col("crowd"), _forms())), "spelled")
-    same_id = rows.filter("id is not null").groupBy("id", "signal").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a < top").drop("top")
-    # only ids that more than one number carries make links; they join back to their few rows
-    by_id = rows.filter("id is not null").select("id", "signal", F.col("node").alias("b")).join(same_id.hint("merge"), ["id", "signal"]).filter("a <> b").select("a", "b")
-    few = spelled.filter("not crowd")
-    slips = near(few, few, whole=True).unionByName(crowd_links(spelled.filter("crowd")))
-    roots = components(slips.unionByName(by_id)).filter("node <> root")
-    final = rows.select("seq", "node").join(roots.hint("merge"), "node", "left").select(F.coalesce("root", "node").alias("kept_seq"), F.col("seq").alias("dup_seq"))
-    return final.filter("kept_seq < dup_seq").distinct()
+_ROWS = "seq long, root long, batch string"
+_KEYS = "signal string, key string, kind string, form string, " + ", ".join(f"{d} int" for d in DIMS) + ", root long, batch string, of string, bucket int"
+_JOINS = "old long, now long, batch string"
+#: What the index is of: numbers, ids, and the forms of the numbers of a group with their distances.
+NUMBER, ID, FORM = "n", "i", "f"
 
 
 class DistanceTable:
-    """The accepted history on disk, one folder for each batch; a batch that is accepted again replaces itself.
+    """The accepted history on disk; a batch that is accepted again replaces itself.
 
-    Rows keep the first row of their filing as it was when they came. Where a later batch joins two filings it writes
-    down which first row gave way to which, in a folder of its own beside the rows.
+    ``rows`` holds each row with the first row of its filing as it was when the row came; ``index`` the numbers, ids and
+    forms with their distances, each once for a batch with the first row, in buckets; ``joins`` the first rows
+    that gave way to others as later batches joined their filings, each with the one that stands for it now.
     """
 
-    def __init__(self, spark: SparkSession, path: str, fields: Fields = Fields()):
-        self.spark, self.path, self.fields = spark, path.rstrip("/"), fields
+    def __init__(self, spark: SparkSession, path: str, fields: Fields = Fields(), buckets: int = BUCKETS):
+        self.spark, self.path, self.fields, self.buckets = spark, path.rstrip("/"), fields, buckets
 
     def _exists(self, path: str) -> bool:
         fs_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return fs_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(fs_path)
 
-    def history(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.path) if self._exists(self.path) else None
-
-    def _roots_now(self, old: DataFrame, name: str) -> DataFrame:
-        """The history with the first rows as they are after all joins so far."""
-        if not self._exists(f"{self.path}_joins"):
-            return old
-        joins = self.spark.read.schema("root long, kept_seq long, batch string").parquet(f"{self.path}_joins").filter(F.col("batch") != name)
-        now = components(joins.select(F.col("root").alias("a"), F.col("kept_seq").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("now"))
-        return old.join(now.hint("merge"), "root", "left").withColumn("root", F.coalesce("now", "root")).drop("now")
+    def _read(self, part: str, schema: str, without: str | None) -> DataFrame:
+        if self._exists(f"{self.path}/{part}"):
+            read = self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
+        else:
+            read = self.spark.createDataFrame([], schema)
+        return read if without is None else read.filter(F.col("batch") != without)
+
+    def _write(self, df: DataFrame, part: str, name: str, *by: str) -> None:
+        (df.hint("rebalance", *by) if by else df).write.partitionBy(*by).mode("overwrite").parquet(f"{self.path}/{part}/batch={name}")
+
+    def _bucket(self, *of: Column | str) -> Column:
+        return F.pmod(F.xxhash64(*of), F.lit(self.buckets)).cast("int")
+
+    def _now(self, roots: DataFrame, without: str | None) -> DataFrame:
+        """Roots of the history as they are after all joins so far."""
+        joins = self._read("joins", _JOINS, without).groupBy(F.col("old").alias("root")).agg(F.min("now").alias("now"))
+        return roots.join(joins.hint("merge"), "root", "left").withColumn("root", F.coalesce("now", "root")).drop("now")
+
+    def links(self) -> DataFrame:
+        """(kept_seq, dup_seq): every accepted row that repeats an earlier one, with the first of its filing."""
+        rows = self._now(self._read("rows", _ROWS, None), None)
+        return rows.filter("root < seq").select(F.col("root").alias("kept_seq"), F.col("seq").alias("dup_seq")).distinct()
+
+    def _entries(self, new: DataFrame) -> DataFrame:
+        """The index entries of a batch: (of, signal, key, kind, form, d0, ..., bucket, seq); a row that has none keeps an empty one."""
+        bare = lambda of, key: F.struct(F.lit(of).alias("of"), key.alias("key"), *[F.lit(None).cast("string").alias(c) for c in ("kind", "form")], *[F.lit(None).cast("int").alias(d) for d in DIMS], self._bucket(key).alias("bucket"))
+        forms = F.transform("forms", lambda f: F.struct(F.lit(FORM).alias("of"), F.col("agree").alias("key"), f["kind"].alias("kind"), f["form"].alias("form"), *[f[d].alias(d) for d in DIMS], self._bucket(F.col("agree"), F.floor(f["d0"] / WIDTH)).alias("bucket")))
+        each = F.filter(F.concat(F.array(bare(NUMBER, F.col("number")), bare(ID, F.col("id"))), forms), lambda x: x["key"].isNotNull())
+        return new.select("seq", "signal", F.inline_outer(each))
+
+    def _touched(self, entries: DataFrame, name: str) -> DataFrame:
+        """What of the history's index shares a number, an id or a group and range with the batch, with the roots of today."""
+        beside = F.when(F.col("of") == FORM, F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: self._bucket(F.col("key"), F.floor(F.col("d0") / WIDTH) + k))).otherwise(F.array("bucket"))
+        asked = entries.select("of", F.explode(beside).alias("bucket")).groupBy("of").agg(F.collect_set("bucket").alias("b")).collect()  # as many as there are buckets
+        held = self._read("index", _KEYS, name)
+        some = F.lit(False)
+        for r in asked:
+            some |= (F.col("of") == r.of) & F.col("bucket").isin(r.b)
+        by = ["of", "key", "signal"]
+        return self._now(held.filter(some).drop("batch", "bucket").join(entries.select(*by).distinct().hint("merge"), by, "left_semi"), name)
 
     def accept(self, batch: DataFrame, name: str) -> DataFrame:
         """Links (kept_seq, dup_seq) of a batch against history and itself; the batch is then part of the history.
 
-        Of the history only the filings that share a number, an id or a range of pivot distances with the batch are met.
-        Older rows whose first row is another one now, as the batch joins their filings, are linked anew.
+        Of the history only the buckets that the batch's numbers, ids and ranges fall in are read, and of these only the
+        filings met. Older rows whose first row is another one now, as the batch joins their filings, are linked
+        anew; the links come from files written here, when they are asked for.
         """
-        new = land(measure(batch, self.fields), "batch")
-        old = self.history()
-        before = new.select("seq", F.col("seq").alias("root")).limit(0)
-        pool = new
-        if old is not None:
-            old = self._roots_now(old.filter(F.col("batch") != name).drop("batch"), name)
-            as_node = lambda df: df.filter("number is not null").groupBy("signal", "agree", "number", "typed").agg(F.min("seq").alias("node"), F.first("forms").alias("forms"))
-            slipped = near(as_node(new), as_node(old)).select(F.col("b").alias("seq"))
-            shared = [old.join(new.select(c, "signal").filter(f"{c} is not null").distinct(), [c, "signal"], "left_semi").select("seq") for c in ("number", "id")]
-            touched = shared[0].union(shared[1]).union(slipped).distinct()
-            known = old.join(touched, "seq", "left_semi").select("root").distinct()
-            met = land(old.join(known, "root", "left_semi"), "met")
-            before = met.select("seq", "root")
-            pool = new.unionByName(met.select(new.columns))
-        links = land(repeats(pool, stored=True), "links")
-        moved = land(before.join(links.select(F.col("dup_seq").alias("seq"), "kept_seq"), "seq").filter("root <> kept_seq"), "moved")
-        rooted = new.join(links.select(F.col("dup_seq").alias("seq"), F.col("kept_seq").alias("root")), "seq", "left").withColumn("root", F.coalesce("root", "seq"))
-        rooted.write.mode("overwrite").parquet(f"{self.path}/batch={name}")
-        moved.select("root", "kept_seq").distinct().write.mode("overwrite").parquet(f"{self.path}_joins/batch={name}")
-        dups = new.select(F.col("seq").alias("dup_seq")).unionByName(moved.select(F.col("seq").alias("dup_seq")))
-        return links.join(dups, "dup_seq", "left_semi").select("kept_seq", "dup_seq")
+        all_ = land(self._entries(measure(batch, self.fields)), "batch")
+        entries = all_.filter("of is not null")
+        known = self._exists(f"{self.path}/rows")
+        columns = ["of", "key", "signal", "kind", "form", *DIMS]
+        met = entries.select(*columns, F.col("seq").alias("node"), F.lit(True).alias("fresh"))
+        if known:
+            met = met.unionByName(land(self._touched(entries, name), "touched").select(*columns, F.col("root").alias("node"), F.lit(False).alias("fresh")))
+        by = ["of", "key", "signal"]
+        nodes = met.filter(F.col("of") != FORM).select(*by, "node")
+        heads = nodes.groupBy(*by).agg(F.min("node").alias("b"), F.max("node").alias("top")).filter("b < top").drop("top")
+        equal = nodes.join(heads.hint("merge"), by).filter("node <> b").select(F.col("node").alias("a"), "b")
+        pool = met.filter(F.col("of") == FORM).groupBy("signal", F.col("key").alias("agree"), "kind", "form", *DIMS).agg(F.min("node").alias("node"), F.bool_or("fresh").alias("fresh"))
+        found = components(equal.unionByName(slips(pool))).filter("node <> root")
+        mine = all_.select("seq").distinct()
+        self._write(mine.join(found.select(F.col("node").alias("seq"), "root").hint("merge"), "seq", "left").select("seq", F.coalesce("root", "seq").alias("root")), "rows", name)
+        rooted = self.spark.read.schema("seq long, root long").parquet(f"{self.path}/rows/batch={name}")
+        self._write(entries.join(rooted.hint("merge"), "seq").groupBy(*columns, "bucket").agg(F.min("root").alias("root")), "index", name, "of", "bucket")
+        fresh = rooted.filter("root < seq").select(F.col("root").alias("kept_seq"), F.col("seq").alias("dup_seq"))
+        if not known:
+            return fresh.distinct()
+        moved = found.join(mine.select(F.col("seq").alias("node")).hint("merge"), "node", "left_anti")
+        gone = moved.select(F.col("node").alias("old"), F.col("root").alias("now"))
+        further = self._read("joins", _JOINS, name).select("old", F.col("now").alias("node")).join(moved.hint("merge"), "node").select("old", F.col("root").alias("now"))
+        gone = land(gone.unionByName(further).distinct(), "gone")
+        older = self._now(self._read("rows", _ROWS, name), name).join(moved.select(F.col("node").alias("root"), F.col("root").alias("kept_seq")).hint("merge"), "root").select("kept_seq", F.col("seq").alias("dup_seq"))
+        self._write(gone, "joins", name)
+        return fresh.unionByName(older).distinct()
+
+
+#: Calls in which ``fold`` takes a log that is there already: each is one batch of many days, and later ones meet the table that earlier ones wrote.
+FOLDS = 2
+
+
+def fold(rows: DataFrame, day: str, fields: Fields = Fields(), folds: int = FOLDS, path: str | None = None) -> DataFrame:
+    """(kept_seq, dup_seq) of a log whose batches are its days, taken through a ``DistanceTable`` in the order of the days.
+
+    Days are accepted in ``folds`` runs of about as many rows each, rows without a day with the first; how days are
+    grouped changes what it costs, not what comes out. The table goes to ``path``, or to the shared folder for this session.
+    """
+    spark = rows.sparkSession
+    if path is None:
+        path = forget_later(spark, f"{shared_dir(spark)}/tidemark-history")
+    kept = rows.select(*{fields.order, fields.number, fields.id, fields.signal, *fields.agree, day})
+    sizes = [(r.d, r.n) for r in kept.groupBy(F.col(day).alias("d")).agg(F.count(F.lit(1)).alias("n")).filter("d is not null").orderBy("d").collect()]  # as many as the calendar has days
+    total, run, ends = sum(n for _, n in sizes), 0, []
+    for d, n in sizes:
+        run += n
+        if len(ends) + 1 < folds and run >= (len(ends) + 1) * total / folds:
+            ends.append(d)
+    table = DistanceTable(spark, path, fields)
+    for i in range(len(ends) + 1):
+        part = F.lit(True) if i == len(ends) else (F.col(day) <= ends[i]) | F.col(day).isNull()
+        if i:
+            part &= F.col(day) > ends[i - 1]
+        table.accept(kept.filter(part), f"{i:04d}")
+    return table.links()

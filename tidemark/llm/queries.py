@@ -169,14 +169,14 @@ def p5_entities(spark, sf):
 
 @query
 def p6_found(spark, sf):
-    return batches.repeats(batches.measure(table(spark, sf, "disclosures")))
+    return batches.fold(table(spark, sf, "disclosures"), "scan_day")
 
 
 _P6_PARTS = r"(?:^|[^0-9])([0-9]{1,10})[^0-9A-Za-z]{1,3}([0-9]{1,2})[^0-9A-Za-z]{1,3}([0-9]{1,6})(?:[^0-9]|$)"
 ORACLE["p6_found"] = f"""
 WITH RECURSIVE t AS (SELECT seq, signal_type AS s, upper(trim(accession)) AS a,
                             regexp_replace(regexp_replace(lower(id), '^\\s*[a-z0-9]+:', ''), '[^0-9a-f]', '', 'g') AS i,
-                            concat_ws('|', coalesce(cik::VARCHAR, '~'), coalesce(upper(trim(form)), '~'), coalesce(filed::VARCHAR, '~')) AS g
+                            cik::VARCHAR || '|' || upper(trim(form)) || '|' || filed::VARCHAR AS g
                      FROM disclosures),
      m AS (SELECT seq, s, i, g, CASE WHEN regexp_matches(a, '{_P6_PARTS}')
                   THEN lpad(regexp_extract(a, '{_P6_PARTS}', 1), 10, '0') || lpad(regexp_extract(a, '{_P6_PARTS}', 2), 2, '0') || lpad(regexp_extract(a, '{_P6_PARTS}', 3), 6, '0')
