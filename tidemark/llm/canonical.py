@@ -1,8 +1,10 @@
 """Freely typed values mapped to a reference list.
 
 The list's names, aliases and their run-together forms go into one multi-pattern automaton; the mentions found at
-word ends are taken longest first, without overlap. A value whose words all belong to one mention is mapped; other
-values go to token-set similarity against the entries that share a word less a character with them. What fits
+word ends are taken longest first, without overlap, and the longest wins. What stands beside a mention may reject it: a
+capitalised word next to it belongs to the name of another firm, and so does a part that joins names or has a legal form or
+a telling word of another entry; words in small letters, figures and parts set off by a comma, a dash or the like do not.
+Other values go to token-set similarity against the entries that share a word less a character with them. What fits
 nothing, or fits two entries equally well, is ``unmatched``.
 
 The list is a reference: its size is checked when it is read, and it rides in the function to each worker. Values
@@ -12,6 +14,7 @@ Null and blank values give null.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,6 +34,10 @@ LARGEST = 200_000
 REMEMBERED = 100_000
 
 
+_part = re.compile(r"[,;:()/|\[\]\n]|\s[-–—]+\s|[–—]")
+_word = re.compile(r"[^\W_]+(?:[.'’][^\W_]+)*")
+
+
 def _words(text: str) -> str:
     return " ".join("".join(c if c.isalnum() else " " for c in text.replace("'", "")).split())
 
@@ -66,6 +73,7 @@ class Matcher:
                 self.auto.add_word(p, (p, next(iter(codes))))
         if len(self.auto):
             self.auto.make_automaton()
+        self.telling = {w for spelled in self.tokens.values() for t in spelled for w in t}
         self.known: dict[str, str] = {}
 
     def _telling(self, name: str) -> tuple[str, ...]:
@@ -98,6 +106,42 @@ class Matcher:
         codes = {h[2] for h in hits if h[1] - h[0] == hits[0][1] - hits[0][0]}
         return hits[0][2] if len(codes) == 1 else None
 
+    def _embedded(self, value: str) -> str | None:
+        """The entry whose name stands whole within a longer text that names no other."""
+        words: list[tuple[str, int, bool]] = []  # folded word, part of the value, capitalised
+        form, joined = set(), set()  # parts with a legal form, parts that join names
+        capitals = value != value.lower()
+        for k, part in enumerate(_part.split(value)):
+            if "&" in part or " and " in part.lower():
+                joined.add(k)
+            for raw in _word.findall(part):
+                folded = _words(consistent(raw)[0])
+                if folded in names.FORMS:
+                    form.add(k)
+                elif folded and not folded.isdigit():
+                    words.append((folded, k, capitals and not raw[0].islower()))
+        text, starts = "", []
+        for w, _, _ in words:
+            starts.append(len(text))
+            text += w + " "
+        hits = self.mentions(text.strip())
+        if not hits or len({h[2] for h in hits}) > 1:
+            return None
+        begin, end, code = hits[0]
+        inside = [i for i, at in enumerate(starts) if begin <= at < end]
+        parts = {words[i][1] for i in inside}
+        if end - begin <= 4 and words[0][1] not in parts:
+            return None  # a few letters are a name only where the value begins with them
+        own = {w for t in self.tokens[code] for w in t}
+        for i, (w, part, capital) in enumerate(words):
+            if i in inside:
+                continue
+            beside = part in parts and (capital or not capitals)
+            other = part not in parts and (part in form or part in joined)
+            if beside or other or w not in own and len(w) > 1 and w in self.telling:
+                return None
+        return code
+
     def _by_similarity(self, value: str) -> str | None:
         tokens = self._telling(value)
         nearby = {c for t in tokens for v in names.cut_variants(t) for c in self.index.get(v, ())}
@@ -114,7 +158,7 @@ class Matcher:
     def code(self, value: str) -> str:
         found = self.known.get(value)
         if found is None:
-            found = UNMATCHED if self.strict and names.is_filler(value) else self._by_mention(value) or self._by_similarity(value) or UNMATCHED
+            found = UNMATCHED if self.strict and names.is_filler(value) else self._by_mention(value) or (self._embedded(value) if self.strict else None) or self._by_similarity(value) or UNMATCHED
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             self.known[value] = found

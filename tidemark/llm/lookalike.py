@@ -30,21 +30,25 @@ IGNORABLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200
 BLANKS = "\t\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000"
 #: Combining accents, without the marks that other scripts are written with.
 ACCENTS = "\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff"
-#: Letters of Cyrillic, Greek and Armenian beside the Latin letters they look like.
-CONFUSABLE = dict(
-    zip(
-        "АВЕЅІЈКМНОРСТХУԌԚԜаеѕіјорсухһԁԛԝѵкмнвтьг" + "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳανικορυχγ" + "ՏՕօոսզ",
-        "ABESIJKMHOPCTXYGQWaesijopcyxhdqwvkmhbtbr" + "ABEZHIKMNOPTYXCjavikopuxy" + "SOonuq",
-        strict=True,
-    )
-)
-
+#: Letters, script by script, beside the Latin letters they look like.
+_ALIKE = {
+    "Cyrillic": ("АВЕЅІЈКМНОРСТХУԌԚԜаеѕіјорсухһԁԛԝѵкмнвтьг", "ABESIJKMHOPCTXYGQWaesijopcyxhdqwvkmhbtbr"),
+    "Greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳανικορυχγητωεμσςβϲ", "ABEZHIKMNOPTYXCjavikopuxyntweuosbc"),
+    "Armenian": ("ՏՕՍԼօոսզհցքռյա", "SOULonuqhgfnjw"),
+    "Coptic": ("ⲀⲂⲈⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲁⲃⲉⲏⲓⲕⲙⲛⲟⲣⲥⲧⲩⲭ", "ABEHIKMNOPCTYXabehikmnopctyx"),
+    "Cherokee": ("ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᎽᏀᏂᏃᏏᏒᏔᏕᏙᏚᏞᏟᏢᏦᏧᏳᏴ", "DRTiYAJEWMHYGhZbRWSVSLCPKdGB"),
+    "Lisu": ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"),
+    "Latin": ("ɑɡɩʋᴀᴄᴇɢʜɪᴊᴋʟᴍɴᴏᴘʀᴛᴜᴠᴡʏᴢ", "agivaceghijklmnoprtuvwyz"),
+}
+CONFUSABLE = {a: b for alike, latin in _ALIKE.values() for a, b in zip(alike, latin, strict=True)}
+
+_alike = regex.compile(f"[{''.join(CONFUSABLE)}]")
 _special = regex.compile(rf"[^\x20-\x7e\n\r]")
 _ignorable = regex.compile(f"[{IGNORABLE}]+")
 _blank = regex.compile(f"[{BLANKS}]")
 _wide = regex.compile("[！-～￠-￦]")
 _accent = regex.compile(rf"\p{{L}}[{ACCENTS}]")
-_other = r"[\p{Greek}\p{Cyrillic}\p{Armenian}\p{Cherokee}\p{Coptic}\p{Georgian}]"
+_other = r"[\p{Greek}\p{Cyrillic}\p{Armenian}\p{Cherokee}\p{Coptic}\p{Georgian}\p{Lisu}]"
 _mixed = regex.compile(rf"(?V1)(?:[\p{{Latin}}&&\p{{L}}][\p{{L}}\p{{M}}\p{{N}}_]*{_other}|{_other}[\p{{L}}\p{{M}}\p{{N}}_]*[\p{{Latin}}&&\p{{L}}])")
 _word = regex.compile(r"[\p{L}\p{M}\p{N}_]+")
 _latin = regex.compile(r"(?V1)[\p{Latin}&&\p{L}]")
@@ -84,7 +88,8 @@ def consistent(value: str) -> tuple[str, int]:
     composed = unicodedata.normalize("NFKC", clean)
     if _mixed.search(composed):
         changes |= MIXED
-        composed = _word.sub(_to_latin, composed)
+    if _alike.search(composed):
+        composed = _word.sub(_to_latin, composed)  # phonetic letters are Latin themselves: they are mapped, but mix no scripts
     return " ".join(unicodedata.normalize("NFKC", composed.casefold()).split()), changes
 
 

@@ -210,3 +210,29 @@ def block_keys(tokens: tuple[str, ...]) -> set[str]:
             if i < j and len(t) >= 4 and len(u) >= 4:
                 keys.update("both " + " ".join(sorted((v, w))) for v in _heads(t) for w in _heads(u))
     return keys
+
+
+def _whole_keys(token: str) -> set[str]:
+    """Keys of which two words that ``same_token`` accepts share one."""
+    return {*(cut_variants(token) if len(token) >= 4 else [token]), *SHORT_NAMES.get(token, "").split()}
+
+
+def finer_keys(tokens: tuple[str, ...], key: str) -> set[str]:
+    """Finer keys of a name in the block ``key``, the second word whole; empty where the name meets the whole block.
+
+    Two matching names whose words make the key share a finer key, unless one of them has a letter for the second word.
+    Blocks of a run or of two words are kept as they are.
+    """
+    first, _, letter = key.rpartition(" ")
+    if first == "run" or first.startswith("both ") or len(letter) != 1:
+        return {key}
+    out: set[str] = set()
+    for i, t in enumerate(tokens):
+        if len(t) < 2 or first not in _whole_keys(t):
+            continue
+        for j, u in enumerate(tokens):
+            if i != j and letter in letters_of(u):
+                if len(u) == 1:
+                    return set()
+                out.update(f"{first} {letter} {w}" for w in _whole_keys(u))
+    return out

@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from tidemark.session import land
 
 CAPACITY = 2_048
-#: Tokens in a packing partition: some 20,000 full containers, a few seconds and some 10 MB of one task.
-PARTITION_TOKENS = 40_000_000
+#: Tokens in a packing partition: some 2,000 full containers, so that tables of every size are packed in parallel and their gaps exchanged.
+PARTITION_TOKENS = 4_000_000
 #: A partition is also held to this many items, as items of size zero add no tokens.
-PARTITION_ITEMS = 200_000
+PARTITION_ITEMS = 100_000
 ROUNDS = 3
 
 

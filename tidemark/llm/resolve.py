@@ -2,12 +2,14 @@
 
 Spellings that differ only in order, case, dots and legal forms start as one profile. Profiles meet in blocks: a
 word less one character beside the first letter of another word, which two matching names always share. Profiles
-that match are merged and keep all their spellings and acronyms; a merged profile enters blocks its parts did not,
-and the next round matches again, until nothing merges. Acronyms join the profile that states them ("ABC (formerly
-...)", or the alias of a known firm), otherwise the only profile of such initials.
-
-Work is done on distinct names. A block pairs profiles, never rows, and a key joins two words of a name, so a
-popular word alone makes no block.
+that match are merged and keep all their spellings and acronyms, and the merged profiles match again, until nothing
+merges. Whether two spellings can be one name does not depend on the profiles they stand in, so each pair of spellings is
+compared once: a merge moves what was compared to the profile it now belongs to, and only that is judged anew. Acronyms
+join the profile that states them ("ABC (formerly ...)", or the alias of a known firm), otherwise the only profile of such initials.
+
+Work is done on distinct names. A block pairs spellings, never rows, and a key joins two words of a name, so a
+popular word alone makes no block. A block of more than ``CROWDED`` spellings is split by the whole second word; spellings
+that have only its first letter, of which there are few, meet all of the block.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from tidemark.llm import names
 from tidemark.operators.components import components
 from tidemark.session import arrow, land
 
-ROUNDS = 10
+#: A block of more spellings than this is split by its second word. Both ways find the same pairs.
+CROWDED = 400
 
 _PROFILE = StructType([StructField("tokens", ArrayType(StringType())), StructField("acronym", StringType()), StructField("filler", BooleanType()), StructField("initials", StringType())])
 
@@ -53,6 +56,17 @@ def _keys(tokens: Column | str) -> Column:
     return keys(tokens)
 
 
+def _finer_keys(text: Column | str, key: Column | str) -> Column:
+    """The finer keys of a spelling in a block; empty for one that meets the whole block."""
+
+    @arrow(ArrayType(StringType()))
+    def keys(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, blocks in batches:
+            yield pa.array([sorted(names.finer_keys(tuple(t.split()), k)) for t, k in zip(texts.to_pylist(), blocks.to_pylist(), strict=True)], pa.list_(pa.string()))
+
+    return keys(text, key)
+
+
 _MATCH = StructType([StructField("same", BooleanType()), StructField("to_x", StringType()), StructField("to_y", StringType())])
 
 
@@ -81,20 +95,35 @@ def _contradict(told: Column | str) -> Column:
     return contradict(told)
 
 
-def _match_spellings(state: DataFrame) -> DataFrame:
+def _spelling_pairs(state: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """(a, b, x, y, to_x, to_y): the spellings x of profile a and y of profile b that can be one name, each pair once, and what each adds to the other."""
+    spelled = state.filter((F.size("tokens") > 1) | (F.length(F.element_at("tokens", 1)) > 4)).select("pid", "tokens", F.array_join("tokens", " ").alias("text")).distinct()
+    blocked = land(spelled.select("pid", "text", F.explode(_keys("tokens")).alias("key")), "blocks")
+    large = blocked.groupBy("key").count().filter(F.col("count") > crowded).select("key")
+    split = land(blocked.join(large.hint("merge"), "key").select("pid", "text", "key", _finer_keys("text", "key").alias("finer")), "split")
+    fine = blocked.join(large.hint("merge"), "key", "left_anti").unionByName(split.select("pid", "text", F.explode("finer").alias("key")))
+
+    def met(left: DataFrame, right: DataFrame, on) -> DataFrame:
+        l, r = left.alias("l"), right.hint("merge").alias("r")
+        one = l.join(r, (F.col("l.key") == F.col("r.key")) & on)
+        swapped = F.col("l.pid") > F.col("r.pid")
+        of = lambda c: (F.when(swapped, F.col(f"r.{c}")).otherwise(F.col(f"l.{c}")), F.when(swapped, F.col(f"l.{c}")).otherwise(F.col(f"r.{c}")))
+        return one.select(of("pid")[0].alias("a"), of("pid")[1].alias("b"), of("text")[0].alias("x"), of("text")[1].alias("y"))
+
+    pairs = met(fine, fine, F.col("l.pid") < F.col("r.pid")).unionByName(met(split.filter(F.size("finer") == 0), split, F.col("l.pid") != F.col("r.pid"))).distinct()
+    return land(pairs.select("a", "b", "x", "y", _compare("x", "y").alias("m")).filter("m.same").select("a", "b", "x", "y", "m.to_x", "m.to_y"), "compared")
+
+
+def _match_spellings(compared: DataFrame) -> DataFrame:
     """(a, b): profiles of which some spelling matches some spelling of the other.
 
     A spelling that leaves a part open (no middle initial, a given name's letter only) and matches names that fill it
     differently could be any of them: it links none of those.
     """
-    spelled = state.filter((F.size("tokens") > 1) | (F.length(F.element_at("tokens", 1)) > 4)).select("pid", "tokens", F.array_join("tokens", " ").alias("text")).distinct()
-    blocked = land(spelled.select("pid", "text", F.explode(_keys("tokens")).alias("key")), "blocks")
-    l, r = blocked.alias("l"), blocked.alias("r")
-    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.pid") < F.col("r.pid"))).select(F.col("l.pid").alias("a"), F.col("r.pid").alias("b"), F.col("l.text").alias("x"), F.col("r.text").alias("y")).distinct()
-    compared = land(pairs.select("a", "b", "x", "y", _compare("x", "y").alias("m")).filter("m.same").select("a", "b", "x", "y", "m.to_x", "m.to_y"), "compared")
     told = compared.select(F.col("x").alias("text"), F.col("to_x").alias("told")).unionByName(compared.select(F.col("y").alias("text"), F.col("to_y").alias("told"))).filter("told <> ''")
     open_ = land(told.groupBy("text").agg(F.collect_set("told").alias("told")).filter(F.size("told") > 1).filter(_contradict("told")).select("text"), "open")
-    clear = compared.join(open_.select(F.col("text").alias("x"), F.lit(True).alias("open_x")), "x", "left").join(open_.select(F.col("text").alias("y"), F.lit(True).alias("open_y")), "y", "left")
+    side = lambda c: open_.select(F.col("text").alias(c), F.lit(True).alias(f"open_{c}")).hint("merge")
+    clear = compared.join(side("x"), "x", "left").join(side("y"), "y", "left")
     return clear.filter("not (open_x is not null and to_x <> '') and not (open_y is not null and to_y <> '')").select("a", "b").distinct()
 
 
@@ -116,7 +145,7 @@ def _match_acronyms(state: DataFrame) -> DataFrame:
     return by_statement.unionByName(by_initials).unionByName(begins).filter("a <> b").distinct()
 
 
-def resolve(spellings: DataFrame, name: str, known: DataFrame | None = None) -> DataFrame:
+def resolve(spellings: DataFrame, name: str, known: DataFrame | None = None, crowded: int = CROWDED) -> DataFrame:
     """(name, entity) for every distinct spelling that names somebody; ``entity`` is shared by the variants of one.
 
     ``known`` may give (name, alias) of a reference list: its rows take part, its spellings are not returned.
@@ -130,15 +159,21 @@ def resolve(spellings: DataFrame, name: str, known: DataFrame | None = None) ->
     base = land(p.select("name", "ours", first.alias("pid"), "p.tokens", F.coalesce(F.nullif("p.acronym", F.lit("")), "alias").alias("acronym"), "p.initials"), "names")
     state = base.select("pid", "tokens", "acronym", "initials").distinct()
     owner = base.select("pid").distinct().withColumn("entity", F.col("pid"))
-    for turn in range(ROUNDS):
-        links = _match_spellings(state) if turn == 0 else _match_spellings(state).unionByName(_match_acronyms(state))
-        merged = land(components(links), "merged")
+    compared = _spelling_pairs(state, crowded)
+    turn = 0
+    while True:  # each turn but the first merges two profiles at least, so it ends
+        links = _match_spellings(compared)
+        merged = land(components(links if turn == 0 else links.unionByName(_match_acronyms(state))), "merged")
         if turn and merged.isEmpty():
             break
-        move = merged.select(F.col("node").alias("pid"), "root")
+        move = merged.select(F.col("node").alias("pid"), "root").hint("merge")
         state = land(state.join(move, "pid", "left").select(F.coalesce("root", "pid").alias("pid"), "tokens", "acronym", "initials").distinct(), "profiles")
-        owner = land(owner.join(move.select(F.col("pid").alias("entity"), "root"), "entity", "left").select("pid", F.coalesce("root", "entity").alias("entity")), "owners")
-    return base.filter("ours").select("name", "pid").join(owner, "pid").select("name", "entity").distinct()
+        owner = land(owner.join(move.withColumnRenamed("pid", "entity"), "entity", "left").select("pid", F.coalesce("root", "entity").alias("entity")), "owners")
+        for side in ("a", "b"):
+            compared = compared.join(move.select(F.col("pid").alias(side), F.col("root").alias(f"root_{side}")), side, "left").withColumn(side, F.coalesce(f"root_{side}", side)).drop(f"root_{side}")
+        compared = land(compared.filter("a <> b"), "compared")
+        turn += 1
+    return base.filter("ours").select("name", "pid").join(owner.hint("merge"), "pid").select("name", "entity").distinct()
 
 
 def pairs(resolved: DataFrame) -> DataFrame:

@@ -32,6 +32,8 @@ from tidemark.llm.lookalike import IGNORABLE
 from tidemark.operators.sampling import by_hash
 from tidemark.session import arrow
 
+#: Characters of training documents sent to the driver, by the mean length of the corpus.
+BYTES = 200_000_000
 #: Documents to train on: with labels, and with section metadata only.
 LABELLED, WEAK = 8_000, 8_000
 LEAST, SHARE = 2, 6
@@ -200,16 +202,19 @@ def train(docs: list[Doc], codes: list[str], turns: int = 4, steps: int = 40, se
 
 
 def training_documents(docs: DataFrame, labels: DataFrame, sections: DataFrame, codes: list[str], labelled: int = LABELLED, weak: int = WEAK) -> list[Doc]:
-    """At most ``labelled`` and ``weak`` documents of lowest hash of their ids.
+    """At most ``labelled`` and ``weak`` documents of lowest hash of their ids; fewer where the corpus' mean length would bring more than ``BYTES`` characters.
 
     ``docs`` is (doc_id, key, text), ``labels`` (doc_id, subject_code), ``sections`` (key, section). Labels of unknown
     documents and codes are left out.
     """
     known = labels.filter(F.col("subject_code").isin(codes) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.collect_set("subject_code").alias("codes"))
     filled = docs.filter("trim(text) <> ''").select("doc_id", "key", "text")
+    size = filled.agg(F.count(F.lit(1)).alias("n"), F.avg(F.length("text")).alias("mean")).first()
+    share = min(1.0, BYTES / max((labelled + weak) * (size["mean"] or 0), 1))
+    labelled, weak = int(labelled * share), int(weak * share)
     # ids first, texts by id
     with_labels = filled.join(F.broadcast(by_hash(known, ["doc_id"], labelled, known.count())), "doc_id")
-    without = by_hash(filled, ["doc_id"], weak, docs.count()).join(known, "doc_id", "left_anti").withColumn("codes", F.array().cast("array<string>"))
+    without = by_hash(filled, ["doc_id"], weak, size["n"]).join(known, "doc_id", "left_anti").withColumn("codes", F.array().cast("array<string>"))
     taken = with_labels.unionByName(without).collect()
     keys = docs.sparkSession.createDataFrame([(k,) for k in sorted({r.key for r in taken if r.key is not None})], "key string")  # at most labelled + weak keys
     named = {r.key: r.section for r in sections.join(F.broadcast(keys), "key").groupBy("key").agg(F.max("section").alias("section")).collect()}

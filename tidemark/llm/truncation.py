@@ -7,6 +7,7 @@ the length against the field's limits is trained on them, its threshold set on v
 is scored. Null, blank and invisible values are not cut.
 
 The training sample is bounded by ``SAMPLE`` distinct values of each field; the lengths and all scores cover all rows.
+What is counted and sampled are hashes; only the texts that are taken travel.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql.types import DoubleType
 
 from tidemark.llm import linear
 from tidemark.llm.lookalike import IGNORABLE
-from tidemark.session import arrow
+from tidemark.session import arrow, land
 
 #: Distinct values of each field to train on.
 SAMPLE = 8_000
@@ -80,12 +81,15 @@ def features(value: str, limits: frozenset[int]) -> list[str]:
     return out
 
 
-def length_limits(lengths: dict[int, int]) -> frozenset[int]:
-    """Lengths that stand out from the twenty around them: where a field cuts."""
+def length_limits(lengths: dict[int, tuple[int, int]]) -> frozenset[int]:
+    """Lengths at which a field cuts: of the different values, more than at the twenty lengths around, and most without a whole ending.
+
+    ``lengths`` gives for each length the number of different values and of those among them that do not end a sentence.
+    """
     out = set()
-    for n, k in lengths.items():
-        around = sum(lengths.get(m, 0) for m in range(n - 10, n + 11) if m != n)
-        if n >= 80 and k >= 20 and k > 5 * (around / 20 + 1):
+    for n, (k, open_) in lengths.items():
+        around = sum(lengths.get(m, (0, 0))[0] for m in range(n - 10, n + 11) if m != n)
+        if n >= 80 and k >= 20 and k > 2 * (around / 20 + 1) and open_ >= 0.6 * k:
             out.add(n)
     return frozenset(out)
 
@@ -102,7 +106,7 @@ def _continues(values: list[str]) -> set[str]:
     return {w for w, n in all_.items() if n >= 5 and on[w] >= 0.9 * n}
 
 
-def _examples(values: list[str], counts: dict[str, int], abbreviations: set[str], seed: int) -> list[tuple[str, int, float]]:
+def _examples(values: list[str], counts: dict[str, int], abbreviations: set[str], limits: frozenset[int], seed: int) -> list[tuple[str, int, float]]:
     """(value, cut, weight). A value weighs more the oftener it stands: what many rows end with is no accident."""
     rng = random.Random(seed)
     out: list[tuple[str, int, float]] = []
@@ -119,6 +123,9 @@ def _examples(values: list[str], counts: dict[str, int], abbreviations: set[str]
         spaces = [m.start() for m in re.finditer(r"\s", text)]
         for _ in range(CUTS):
             at = rng.choice(spaces) if spaces and rng.random() < 0.4 else rng.randrange(1, max(2, len(text)))
+            at_limit = [n for n in sorted(limits) if n < len(text)]
+            if at_limit and rng.random() < 0.2:
+                at = rng.choice(at_limit)  # a field's limit leaves nothing behind the cut
             cut = text[:at]
             rest = text[at:].strip("”\"')’» ")
             end = cut.rstrip()
@@ -126,7 +133,7 @@ def _examples(values: list[str], counts: dict[str, int], abbreviations: set[str]
                 continue
             if _whole.search(end) and end.split()[-1].lower() not in abbreviations and (text[at : at + 1].isspace() or cut != end):
                 continue  # the cut fell between two sentences
-            out.append((cut + rng.choice(REMAINS), 1, 1.0))
+            out.append((cut if at in limits else cut + rng.choice(REMAINS), 1, 1.0))
     return out
 
 
@@ -144,14 +151,14 @@ class Model:
         return z
 
 
-def train(counts: dict[str, int], lengths: dict[int, int], seed: int = 7) -> Model:
+def train(counts: dict[str, int], lengths: dict[int, tuple[int, int]], seed: int = 7) -> Model:
     """Fit on four fifths of the values (with the rows that hold each); precision, recall and threshold come from the rest, which then train too."""
     limits = length_limits(lengths)
     values = sorted(counts)
     random.Random(seed).shuffle(values)
     fifth = len(values) // 5
     abbreviations = _continues(values)
-    made, kept = (_examples(part, counts, abbreviations, seed + i) for i, part in enumerate((values[fifth:], values[:fifth])))
+    made, kept = (_examples(part, counts, abbreviations, limits, seed + i) for i, part in enumerate((values[fifth:], values[:fifth])))
     if not any(y for _, y, _ in made):
         return Model(np.zeros(1 << linear.BITS, np.float32), -1.0, limits, (0.0, 0.0))
     w, b = _fit(made, limits)
@@ -175,19 +182,25 @@ def _fit(made: list[tuple[str, int, float]], limits: frozenset[int]) -> tuple[np
 
 def train_on(rows: DataFrame, field: str, value: str, sample: int = SAMPLE) -> Model:
     """Train on at most ``sample`` distinct values of each field: half those of most rows, the others those of lowest hash."""
-    filled = rows.filter(F.trim(value) != "")
-    sizes = {r.f: r for r in filled.groupBy(F.col(field).alias("f")).agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(value, 0.02).alias("k")).orderBy("f").limit(100).collect()}
-    counts: Counter[str] = Counter()
-    for f, size in sizes.items():
-        own = filled.filter(F.col(field) == f)
-        grouped = lambda some: some.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        # values in a millionth of the rows or more are a million at most; of the others a sample, taken before they are grouped
-        frequent = grouped(own).filter(F.col("n") >= max(2, size.n // 1_000_000)).orderBy(F.desc("n"), "v").limit(sample // 2)
+    filled = rows.filter(F.trim(value) != "").select(F.col(field).alias("f"), F.col(value).alias("v"), F.xxhash64(value).alias("h"))
+    ends = F.col("v").rlike("[.?!][”\"')’»]*\\s*$")
+    hashes = land(filled.groupBy("f", "h").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("v")).alias("length"), F.bool_or(ends).alias("ends")), "hashes")
+    sizes = hashes.groupBy("f").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).orderBy("f").collect()  # a row for each field
+    picked: dict[tuple[str, int], int] = {}
+    for size in sizes:
+        own = hashes.filter(F.col("f").eqNullSafe(F.lit(size.f))).select("h", "n")
+        # values in a millionth of the rows or more are a million at most; of the others a sample by a threshold on the hash
+        frequent = own.filter(F.col("n") >= max(2, size.n // 1_000_000)).orderBy(F.desc("n"), "h").limit(sample // 2)
         thin = min(1.0, (0.6 * sample + 100) / max(size.k, 1))
-        others = grouped(own.filter(F.pmod(F.xxhash64(value), F.lit(1 << 30)) < int(thin * (1 << 30)) + (thin >= 1.0))).orderBy(F.xxhash64("v"), "v").limit(sample // 2)
-        for r in (*frequent.collect(), *others.collect()):
-            counts[r.v] = max(counts[r.v], r.n)
-    lengths = {r.n: r.k for r in filled.groupBy(F.length(value).alias("n")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("k"), "n").limit(2_000).collect()}
+        others = own.filter(F.pmod("h", F.lit(1 << 30)) < int(thin * (1 << 30)) + (thin >= 1.0)).orderBy("h").limit(sample // 2)
+        picked.update({(size.f, r.h): r.n for r in frequent.unionByName(others).collect()})
+    counts: Counter[str] = Counter()
+    if picked:
+        taken = rows.sparkSession.createDataFrame(list(picked), "f string, h long")  # ``sample`` rows a field at most
+        for r in filled.join(F.broadcast(taken), ["f", "h"]).groupBy("f", "h").agg(F.min("v").alias("v")).collect():
+            counts[r.v] = max(counts[r.v], picked[r.f, r.h])
+    by_length = hashes.groupBy("length").agg(F.count(F.lit(1)).alias("k"), F.count_if(~F.col("ends")).alias("open"))
+    lengths = {r.length: (r.k, r.open) for r in by_length.collect()}  # no more than the longest value has characters
     return train(counts, lengths)
 
 
