@@ -30,3 +30,11 @@ def test_column(spark):
     got = df.select("want", "flags", L.consistent_form("t").alias("c")).collect()
     assert all((r.c.form, r.c.changes) == (r.want, r.flags) if r.c else r.want is None for r in got)
     assert df.limit(0).select(L.consistent_form(F.col("t"))).collect() == []
+
+
+def test_letters_of_many_scripts_become_equal():
+    for typed, plain in (("Ꭺlpha", "alpha"), ("Ⲁlpha", "alpha"), ("ηew", "new"), ("ꓮlpha", "alpha"), ("ɡroup", "group"), ("Gгоup", "group"), ("ΑLPHA", "alpha"), ("Տtone", "stone")):
+        assert L.consistent(typed)[0] == plain, typed
+    for whole in ("Ελλάς", "Россия", "ᎠᏂᏴᏫᏯᎢ", "Yıldız"):
+        assert L.consistent(whole) == (whole.casefold(), 0), whole
+    assert L.consistent("ɡroup")[1] == 0 and L.consistent("ꓮlpha")[1] == L.MIXED

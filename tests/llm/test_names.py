@@ -134,3 +134,80 @@ def test_resolution_of_given_words(spark):
     groups = [["Robert A. Thomas, CPA", "Bob Thomas"], ["J. Francis", "John Francis"], ["Eilliam Varnumere", "William Varnumere"]]
     df = spark.createDataFrame([(n,) for g in groups for n in g], "name string")
     assert {(r.name_a, r.name_b) for r in resolve.pairs(resolve.resolve(df, "name")).collect()} == {tuple(sorted(g)) for g in groups}
+
+
+GIVEN_ONLY = [("William James", "Bill James"), ("Thomas Henry CPA", "Tom Henry CPA"), ("James William", "James Wiliam"), ("Robert Francis", "Bob Francis"), ("J. Francis", "John Francis"), ("Eilliam Varnumere", "William Varnumere")]
+
+
+@pytest.mark.parametrize("a,b", GIVEN_ONLY)
+def test_names_of_given_names_meet(a, b):
+    x, y = names.parts(a)[0], names.parts(b)[0]
+    assert names.same_name(x, y) and names.block_keys(x) & names.block_keys(y)
+
+
+_WORD = st.sampled_from("james jim william bill will john jon j w a smith smyth smiht brown brwon lee".split())
+
+
+@given(st.lists(_WORD, min_size=2, max_size=4), st.lists(_WORD, min_size=2, max_size=4))
+def test_names_that_match_share_a_key_and_a_finer_one(a, b):
+    a, b = tuple(a), tuple(b)
+    if names.same_name(a, b) and a != b:
+        shared = names.block_keys(a) & names.block_keys(b)
+        assert shared
+        fine = [(names.finer_keys(a, k), names.finer_keys(b, k)) for k in shared]
+        assert any(not x or not y or x & y for x, y in fine)
+
+
+def test_split_blocks_find_the_same(spark):
+    typed = ["John Smith CPA", "Jon Smith", "J. Smith", "James Smith", "Jim Smith", "John A. Smith", "Smith John", "Jane Smith", "Grey & Stone LLP", "Stone Gray LLP", "Wm. Brown", "William Brown"]
+    df = spark.createDataFrame([(t,) for t in typed], "n string")
+    got = [{(r.name_a, r.name_b) for r in resolve.pairs(resolve.resolve(df, "n", crowded=c)).collect()} for c in (0, 10_000)]
+    assert got[0] == got[1] and ("Jim Smith", "James Smith")[::-1] in got[0]
+
+
+FIRMS = [canonical.Entry("D", ["Deloitte & Touche LLP"], ["Deloitte"]), canonical.Entry("G", ["Grant Thornton LLP"]), canonical.Entry("B", ["Baker Tilly US, LLP"]), canonical.Entry("M", ["Marsh & Alder LLP"], ["MA"])]
+
+
+@pytest.mark.parametrize(
+    "value,code",
+    [
+        ("engaged Grant Thornton as auditor", "G"), ("Grant Thornton, Chicago office", "G"), ("Deloitte until 2023", "D"), ("Deloitte, Denver", "D"), ("Deloitte & Touche LLP (Denver office)", "D"),
+        ("Baker Tilly Hughes LLP", "unmatched"), ("Hughes Baker Tilly", "unmatched"), ("Deloitte, Haskins & Sells", "unmatched"), ("Deloitte, then Grant Thornton", "unmatched"), ("Deloitte / Thornton", "unmatched"), ("Smith, MA", "unmatched"), ("Grant Thorntn LLP", "G"), ("thornton", "unmatched"),
+    ],
+)
+def test_a_name_within_a_longer_text(value, code):
+    assert canonical.Matcher(FIRMS, strict=True, threshold=1.0).code(value) == code
+
+
+def test_made_variants_are_found(spark):
+    """Recall on variants made from names: of the list for the mapping, of invented names for the resolution."""
+    import random
+
+    rng = random.Random(11)
+    parts = ["Trel", "Vorn", "Kast", "Mild", "Ospr", "Quen", "Harb", "Wex", "Yand", "Zol"]
+    ends = ["ham", "vane", "ridge", "stone", "combe", "hurst", "wick", "mere"]
+    firms = list({f"{rng.choice(parts)}{rng.choice(ends)} {rng.choice(parts).lower().title()}{rng.choice(ends)} LLP" for _ in range(40)})
+
+    def vary(name):
+        words = name.split()[:2]
+        kind = rng.randrange(6)
+        if kind == 0:
+            i = rng.randrange(1, len(words[0]) - 1)
+            words[0] = words[0][:i] + words[0][i + 1 :]
+        elif kind == 1:
+            i = rng.randrange(1, len(words[1]) - 2)
+            words[1] = words[1][:i] + words[1][i + 1] + words[1][i] + words[1][i + 2 :]
+        elif kind == 2:
+            words.reverse()
+        elif kind == 3:
+            words = [w.upper() for w in words]
+        elif kind == 4:
+            words = ["".join(words)]
+        return " ".join(words) + rng.choice(["", " LLP", ", L.L.P.", " CPAs"])
+
+    made = [(vary(f), f) for f in firms for _ in range(6)]
+    matcher = canonical.Matcher([canonical.Entry(f, [f]) for f in firms], strict=True, threshold=1.0)
+    right = [matcher.code(v) == f for v, f in made]
+    assert sum(right) >= 0.9 * len(made)
+    entity = {r.name: r.entity for r in resolve.resolve(spark.createDataFrame([(n,) for n in {v for v, _ in made} | set(firms)], "n string"), "n").collect()}
+    assert sum(entity[v] == entity[f] for v, f in made) >= 0.9 * len(made)

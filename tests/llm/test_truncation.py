@@ -52,3 +52,20 @@ def test_edges(spark, model):
     got = {r.seq: r.cut for r in truncation.find_cut(df, "field", "value", model).collect()}
     assert got == {1: False, 2: False, 3: False, 4: False, 5: True, 6: False}
     assert truncation.find_cut(df.limit(0), "field", "value").collect() == []
+
+
+def test_limits_are_counted_on_different_values():
+    lengths = {n: (10, 1) for n in range(80, 300)} | {200: (60, 55), 150: (60, 2), 255: (12, 12)}
+    assert truncation.length_limits(lengths) == {200}
+
+
+def test_every_field_trains_and_no_length_is_left_out(spark):
+    rows = spark.createDataFrame([(f"f{k:03d}", f"This is the {w} whole sentence of field {k}.") for k in range(103) for w in ("first", "second")], "field string, value string")
+    seen = {}
+    kept = truncation.train
+    try:
+        truncation.train = lambda counts, lengths, **_: seen.update(counts=counts, lengths=lengths) or kept(counts, lengths)
+        truncation.train_on(rows.filter("field in ('f000', 'f101', 'f102')"), "field", "value")
+    finally:
+        truncation.train = kept
+    assert len(seen["counts"]) == 6 and sum(k for k, _ in seen["lengths"].values()) == 6

@@ -163,7 +163,7 @@ def resolve(spellings: DataFrame, name: str, known: DataFrame | None = None, cro
     turn = 0
     while True:  # each turn but the first merges two profiles at least, so it ends
         links = _match_spellings(compared)
-        merged = land(components(links if turn == 0 else links.unionByName(_match_acronyms(state))), "merged")
+        merged = components(links if turn == 0 else links.unionByName(_match_acronyms(state)))
         if turn and merged.isEmpty():
             break
         move = merged.select(F.col("node").alias("pid"), "root").hint("merge")
