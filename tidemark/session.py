@@ -8,7 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Settings for a session of our own; a session handed in from outside is left as it is.
@@ -105,6 +105,20 @@ def land(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A table of at most this many bytes is sent to every worker.
+SMALL = 8 << 20
+
+
+def sized(df: DataFrame, name: str = "stage", small: int = SMALL) -> DataFrame:
+    """``df`` landed, its bytes counted as it was written: to be broadcast where it is small, to be merged where it is not."""
+    seen = Observation()
+    width = F.lit(16)
+    for f in df.schema.fields:
+        width = width + (F.coalesce(F.octet_length(f.name), F.lit(0)) + 16 if f.dataType.typeName() == "string" else F.lit(16))
+    done = land(df.observe(seen, F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")), name)
+    return F.broadcast(done) if seen.get["bytes"] <= small else done.hint("merge")
+
+
 @atexit.register
 def sweep() -> None:
     """Remove what was landed so far. A long-lived session calls it when no result read from there is needed any more."""
