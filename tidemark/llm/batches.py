@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.components import components
-from tidemark.session import forget_later, land, shared_dir
+from tidemark.session import forget_later, land, shared_dir, sized
 
 DIGITS = 18
 #: A changed, missing or added digit is one edit, and so are two swapped neighbours.
@@ -196,7 +196,7 @@ def near_cells(pool: DataFrame) -> DataFrame:
 
 
 def slips(pool: DataFrame) -> DataFrame:
-    """(a, b): links that join all nodes of forms one slip apart. ``pool`` is (signal, agree, kind, form, d0, ..., node, fresh), a row for each form.
+    """(a, b): links that join all nodes of forms one slip apart. ``pool`` is (signal, agree, kind, form, d0, ..., node, fresh).
 
     Only groups with several numbers, at least one of them new, are looked at, and of these only the cells that
     ``near_cells`` leaves. Numbers that differ in one digit share the pattern with that digit blanked, neighbours that are swapped share
@@ -206,8 +206,9 @@ def slips(pool: DataFrame) -> DataFrame:
     to write links all its nodes if it has both.
     """
     full = F.when(F.col("kind") == FULL, F.xxhash64("form"))
-    several = pool.groupBy(*GROUP).agg(F.min(full).alias("lo"), F.max(full).alias("hi"), F.bool_or("fresh").alias("fresh")).filter("lo <> hi and fresh").select(*GROUP)
-    pool = land(pool.join(several.hint("merge"), GROUP, "left_semi"), "several")
+    several = sized(pool.filter(F.col("kind") == FULL).groupBy(*GROUP).agg(F.min(full).alias("lo"), F.max(full).alias("hi"), F.bool_or("fresh").alias("fresh")).filter("lo <> hi and fresh").select(*GROUP), "groups")
+    pool = pool.join(several, GROUP, "left_semi").groupBy(*GROUP, "kind", "form", *DIMS).agg(F.min("node").alias("node"), F.bool_or("fresh").alias("fresh"))
+    pool = land(pool, "several")
     forms = land(pool.join(near_cells(pool).hint("merge"), [*GROUP, "kind", *DIMS], "left_semi").select(*GROUP, "kind", "form", "node"), "near")
     n = F.col("form")
     cut = lambda i, k, mid: F.concat(F.substr(n, F.lit(1), i - 1), mid, F.substr(n, i + k))
@@ -310,14 +311,15 @@ class DistanceTable:
             met = met.unionByName(land(self._touched(entries, name), "touched").select(*columns, F.col("root").alias("node"), F.lit(False).alias("fresh")))
         by = ["of", "key", "signal"]
         nodes = met.filter(F.col("of") != FORM).select(*by, "node")
-        heads = nodes.groupBy(*by).agg(F.min("node").alias("b"), F.max("node").alias("top")).filter("b < top").drop("top")
-        equal = nodes.join(heads.hint("merge"), by).filter("node <> b").select(F.col("node").alias("a"), "b")
-        pool = met.filter(F.col("of") == FORM).groupBy("signal", F.col("key").alias("agree"), "kind", "form", *DIMS).agg(F.min("node").alias("node"), F.bool_or("fresh").alias("fresh"))
-        found = components(equal.unionByName(slips(pool))).filter("node <> root")
+        heads = sized(nodes.groupBy(*by).agg(F.min("node").alias("b"), F.max("node").alias("top")).filter("b < top").drop("top"), "heads")
+        equal = nodes.join(heads, by).filter("node <> b").select(F.col("node").alias("a"), "b")
+        pool = met.filter(F.col("of") == FORM).select("signal", F.col("key").alias("agree"), "kind", "form", *DIMS, "node", "fresh")
+        found = sized(components(equal.unionByName(slips(pool))).filter("node <> root"), "found")
         mine = all_.select("seq").distinct()
-        self._write(mine.join(found.select(F.col("node").alias("seq"), "root").hint("merge"), "seq", "left").select("seq", F.coalesce("root", "seq").alias("root")), "rows", name)
+        with_root = lambda df: df.join(found.withColumnRenamed("node", "seq"), "seq", "left").withColumn("root", F.coalesce("root", "seq"))
+        self._write(with_root(mine), "rows", name)
         rooted = self.spark.read.schema("seq long, root long").parquet(f"{self.path}/rows/batch={name}")
-        self._write(entries.join(rooted.hint("merge"), "seq").groupBy(*columns, "bucket").agg(F.min("root").alias("root")), "index", name, "of", "bucket")
+        self._write(with_root(entries).groupBy(*columns, "bucket").agg(F.min("root").alias("root")), "index", name, "of", "bucket")
         fresh = rooted.filter("root < seq").select(F.col("root").alias("kept_seq"), F.col("seq").alias("dup_seq"))
         if not known:
             return fresh.distinct()
