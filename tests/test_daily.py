@@ -8,7 +8,7 @@ LONG = "Nothing else of note happened in this period. " * 60
 
 def test_a_day(spark):
     rows = [
-        (1, "8-K", "Acme", 1, "a1", "4.01", 2834, "The Board dismissed its accounting firm. There were no disagreements."),
+        (1, "8-K", "Acme", 1, "a1", "4.01", 2834, "The Board dismissed Deloitte & Touche LLP, its accounting firm, and engaged Alder & Birch LLP. There were no disagreements."),
         (2, "8-K", "Acme", 1, "a1", "4.01", 2834, None),  # listed twice
         (3, "8-K/A", "Acme", 1, "a2", "4.01", 2834, "This amendment is filed solely to add Exhibit 16.1."),
         (4, "8-K", "Beta", 2, "b1", "5.02", None, "A director resigned. The Chief Financial Officer signs."),
@@ -16,7 +16,7 @@ def test_a_day(spark):
         (6, "NT 10-Q", "Gamma", 4, "d1", "", 100, "period ended: June 30, 2026 PART III The company could not close its ledgers before the day on which its report was due. PART IV"),
         (7, "NT 10-K", "Gamma", 4, "d2", "", 100, "PART III We found errors in our prior accounts and an internal review of these goes on now. PART IV"),
         (8, "UPLOAD", "Delta", 5, "e1", "", 100, "Re: Form 10-K\nDear Sir:\nWe have reviewed your filing. Please tell us how segments are judged in your notes. " + "We look at the notes with care. " * 12),
-        (9, "10-K", "Echo", 6, "f1", "", 100, LONG + "Losses raise substantial doubt about us."),
+        (9, "10-K", "Echo", 6, "f1", "", 100, LONG + "Losses raise substantial doubt about our ability to continue as a going concern."),
         (10, "N-PX", "Zeta", 7, "g1", "", 100, "no candidate"),
         (11, "8-K", "Eta", 8, "h1", "4.02", 100, None),
         (12, "8-K", "Lost", 9, "i1", "4.02", None, "its header can't be read"),
@@ -30,7 +30,14 @@ def test_a_day(spark):
     stones = spark.createDataFrame([], "event_id string, action string")
     good, held = daily.scan(daily.Inputs(filings, headers, docs, history, floats), log, stones)
     got = {(r.accession, r.signal_type, r.severity, r.size_tier) for r in good.collect()}
-    assert got == {("a1", "auditor_change", "normal", "large"), ("d2", "late_filing", "high", ""), ("e1", "comment_letter", "normal", ""), ("f1", "going_concern", "high", ""), ("h1", "restatement", "high", "")}
+    assert got == {("a1", "auditor_change", "high", "large"), ("d2", "late_filing", "high", ""), ("e1", "comment_letter", "normal", ""), ("f1", "going_concern", "high", ""), ("h1", "restatement", "high", "")}
     assert held.collect() == []
+    by = {r.accession: r for r in good.collect()}
+    a1 = by["a1"]
+    assert (a1.evidence.direction, a1.evidence.predecessor_auditor, a1.evidence.successor_auditor, a1.evidence.tier_downgrade, a1.evidence.disagreements_disclosed) == ("dismissed", "Deloitte & Touche LLP", "Alder & Birch LLP", True, False)
+    assert a1.headline == "Acme dismissed Deloitte & Touche LLP for Alder & Birch LLP"
+    assert (by["d2"].evidence.filings_in_batch, by["d2"].evidence.other_forms) == (2, "NT 10-Q") and "2 periodic reports" in by["d2"].headline
+    assert by["f1"].evidence.prior_state == "none" and by["f1"].headline == "Echo now reports substantial doubt" and by["f1"].quote.startswith("Losses raise")
+    assert by["e1"].evidence.topics == []
     again, _ = daily.scan(daily.Inputs(filings, headers, docs, history, floats), good, stones)
     assert again.collect() == []

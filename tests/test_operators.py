@@ -63,16 +63,30 @@ def test_search_by_nothing_is_everything(spark):
 
 def test_periodic_changes(spark):
     filler = "Nothing else of note happened in this period. " * 60
+    doubt = "Losses raise substantial doubt about our ability to continue as a going concern. "
+    policy = "We recognize revenue when a performance obligation is met; contracts with customers state the transaction price under ASC 606. "
+    note = lambda own: f"\n2. Revenue Recognition\n{policy * 3}{own}\n3. Debt\nNone.\n"
+    old = "Pumps are delivered to customers at our plant in spring and revenue follows at that time. Hoses are sold by contract to farms and paid after the harvest of the year. " * 3
+    new = "Software seats are licensed to customers by the month and revenue is spread evenly over each term. Support is promised to customers as a stand ready duty and earned as days go by. Upgrades granted to customers are held apart and priced on their own by our sales desk. " * 3
     docs = [
         (1, "10-K", day(0), "a", 1, filler + "Our internal control over financial reporting was effective."),
-        (1, "10-K", day(365), "b", 2, filler + "Losses raise substantial doubt about us. Our internal control over financial reporting was not effective. We took up ASU 2024-03."),
+        (1, "10-K", day(365), "b", 2, filler + doubt + "Our internal control over financial reporting was not effective. We took up ASU 2024-03. The FASB issued ASU 2025-01, which we will adopt later."),
         (1, "10-K/A", day(400), "c", 3, filler),
-        (1, "10-Q", day(380), "d", 4, filler + "Losses raise substantial doubt."),
+        (1, "10-Q", day(380), "d", 4, filler + doubt),
         (2, "10-K", day(9), "e", 5, "short"),
         (2, None, None, "f", 6, None),
+        (3, "10-K", day(0), "g", 7, filler),
+        (3, "10-K", day(365), "h", 8, filler + "\nItem 1A. Risk Factors\n" + doubt + "\nItem 2. Properties\nNone. The FASB issued ASU 2024-03, which we will adopt later."),
+        (4, "10-K", day(0), "i", 9, filler + note(old)),
+        (4, "10-K", day(365), "j", 10, filler + note(new)),
+        (4, "10-K", day(730), "k", 11, filler + note(new.replace("evenly", "equally"))),
     ]
-    got = {(r.accession, r.prior_accession, r.signal_type, r.prior_state, r.current_state, r.direction) for r in changes(spark.createDataFrame(docs, "cik long, form string, filed date, accession string, seq long, text string")).collect()}
-    assert got == {("b", "a", "going_concern", "none", "substantial_doubt", "escalated"), ("b", "a", "material_weakness", "effective", "material_weakness", "weakened"), ("b", "a", "policy_change", None, "2024-03", None)}
+    found = changes(spark.createDataFrame(docs, "cik long, form string, filed date, accession string, seq long, text string")).collect()
+    got = {(r.accession, r.prior_accession, r.signal_type, r.prior_state, r.current_state if r.signal_type != "revenue_recognition" else None, r.direction) for r in found}
+    assert got == {("b", "a", "going_concern", "none", "substantial_doubt", "escalated"), ("b", "a", "material_weakness", "effective", "material_weakness", "weakened"), ("b", "a", "policy_change", None, "2024-03", None), ("j", "i", "revenue_recognition", None, None, None)}
+    by = {r.signal_type: r.evidence for r in found}
+    assert by["policy_change"].new_standards == ["2024-03", "2025-01"] and by["policy_change"].adopted == ["2024-03"] and by["policy_change"].prior_form == "10-K"
+    assert len(by["revenue_recognition"].new_language) >= 2 and by["revenue_recognition"].similarity < 0.6
 
 
 def test_ranges_see_what_the_whole_series_sees(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import FLAGS, collapse, first_positions, mask, ordered_distinct, sentences
+from tidemark.functions.text import FLAGS, collapse, first_positions, let, mask, sentences
 
 
 def non_reliance_limb(text: Column) -> Column:
@@ -85,7 +85,11 @@ def late_reason(text: Column, longest: int = 700) -> Column:
     return F.substring(F.array_join(kept, " "), 1, longest)
 
 
-_SUBSTANTIVE = FLAGS + r"\b(?:restat\w+|errors?\s+in|misstat\w+|investigation|internal\s+review|material\s+weakness|non-?reliance)\b"
+#: What makes a late notice more than routine.
+_SUBSTANTIVE = FLAGS + (
+    r"\brestat\w+|\berror(?:s)?\b|material\s+weakness|significant\s+deficienc|non-?reliance|resign\w+|dismiss\w+|terminat\w+|internal\s+(?:review|investigation)|independent\s+(?:review|investigation)"
+    r"|audit\s+committee\s+(?:review|investigation)|forensic|bankrupt\w+|chapter\s+(?:7|11)|delist\w+|going\s+concern|revenue\s+recognition|impairment|fraud|misstat\w+|departure|chief\s+(?:executive|financial)"
+)
 
 
 def late_severity(reason: Column, days_late: Column, change_expected: Column, others_filed: Column, annual: Column) -> Column:
@@ -107,20 +111,37 @@ def reviews_a_periodic_report(subject: Column) -> Column:
 
 #: What review letters ask about.
 TOPICS = {
-    "Revenue recognition": FLAGS + r"\brevenue\s+recogni|\bASC\s*606\b", "Segments": FLAGS + r"\bsegment(?:s|al)?\b", "Non-GAAP measures": FLAGS + r"\bnon-GAAP\b", "Goodwill": FLAGS + r"\bgoodwill\b|\bimpairment\b",
-    "Internal control": FLAGS + r"\binternal\s+control\b|\bdisclosure\s+controls\b", "Income taxes": FLAGS + r"\bincome\s+tax|\bvaluation\s+allowance\b", "Leases": FLAGS + r"\bASC\s*842\b|\bleases?\b", "Going concern": FLAGS + r"\bgoing\s+concern\b",
-    "Inventory": FLAGS + r"\binventor(?:y|ies)\b", "Fair value": FLAGS + r"\bfair\s+value\b", "Related parties": FLAGS + r"\brelated\s+part(?:y|ies)\b", "Liquidity": FLAGS + r"\bliquidity\b", "Stock compensation": FLAGS + r"\b(?:stock|share)-based\b", "Derivatives": FLAGS + r"\bderivatives?\b",
-}
+    "Revenue recognition": r"\brevenue\s+recognition\b|\bASC\s*606\b|\bTopic\s*606\b|\bperformance\s+obligation",
+    "Non-GAAP measures": r"\bnon-?GAAP\b|\badjusted\s+EBITDA\b|\bRegulation\s+G\b|\bItem\s+10\(e\)",
+    "Segment reporting": r"\bsegment\s+(?:report|disclosur|informat)|\bASC\s*280\b|\breportable\s+segment|\bchief\s+operating\s+decision\s+maker\b",
+    "Goodwill and impairment": r"\bgoodwill\b|\bimpairment\b|\bASC\s*350\b|\bASC\s*360\b",
+    "Business combinations": r"\bbusiness\s+combination|\bASC\s*805\b|\bpurchase\s+price\s+allocation\b|\breverse\s+(?:merger|recapitali)",
+    "Internal control": r"\bmaterial\s+weakness\b|\binternal\s+control\s+over\s+financial\s+reporting\b|\bICFR\b|\bdisclosure\s+controls\b|\bItem\s+9A\b",
+    "Going concern": r"\bgoing\s+concern\b|\bASC\s*205-40\b",
+    "Income taxes": r"\bincome\s+tax|\bvaluation\s+allowance\b|\bASC\s*740\b",
+    "Fair value": r"\bfair\s+value\b|\bASC\s*820\b|\bLevel\s+3\b",
+    "Leases": r"\bleases?\b|\blessee\b|\blessor\b|\bASC\s*842\b",
+    "Share-based compensation": r"\bshare-?based\s+compensation\b|\bstock-?based\s+compensation\b|\bASC\s*718\b",
+    "Crypto assets": r"\bcrypto\s*(?:currenc|asset)|\bdigital\s+asset|\bbitcoin\b",
+    "Inventory": r"\binventor(?:y|ies)\b|\bASC\s*330\b",
+    "MD&A": r"\bManagement'?s?\s+Discussion\s+and\s+Analysis\b|\bMD&A\b|\bresults\s+of\s+operations\b",
+}
 
 
 def topics(text: Column) -> Column:
-    return first_positions(text, TOPICS)
+    return first_positions(text, {n: FLAGS + p for n, p in TOPICS.items()})
+
+
+#: Fixed value: a place in a report that a letter points to.
+_CITED = FLAGS + r"(Note\s+\d+[^,;]{0,80}|Item\s+\d+[A-Z]?\.?[^,;]{0,60})\s*,?\s*page\s+(\d+)"
 
 
 def citations(text: Column, most: int = 4) -> Column:
-    """The first few distinct references to codified rules."""
-    found = F.regexp_extract_all(text, F.lit(r"(?i)\b((?:ASC|SAB|Item|Rule|Regulation)\s+(?:Topic\s+)?[0-9A-Z][\w.()-]*[\w)])"), F.lit(1))
-    return ordered_distinct(F.transform(found, collapse), most)
+    """The first few notes and items that are cited with a page, each once whatever its page and case."""
+    labels, pages = (F.regexp_extract_all(text, F.lit(_CITED), F.lit(k)) for k in (1, 2))
+    pairs = F.zip_with(F.transform(labels, collapse), pages, lambda label, page: F.struct(label.alias("label"), page.alias("page")))
+    own = lambda all_: F.filter(all_, lambda p, i: (F.length(p["label"]) >= 4) & (F.array_position(F.transform(all_, lambda q: F.lower(q["label"])), F.lower(p["label"])) == i + 1))
+    return F.slice(F.transform(let(pairs, own), lambda p: F.concat(p["label"], F.lit(", page "), p["page"])), 1, most)
 
 
 def blank_check(company: Column, sic: Column, text: Column) -> Column:

@@ -84,7 +84,7 @@ _NOT_AUDITOR = re.compile(r"(?i)\b(?:counsel|law\s+firm|attorneys?|underwriters?
 def firm_after(text: str, verb: str, issuer: str = "") -> str:
     """The accounting firm named behind a verb; no law firm, no underwriter, not the issuer itself."""
     for m in re.finditer(rf"(?:{verb})[^.;]{{0,120}}?\b{_FIRM}", text):
-        name = m.group(1).strip(" ,")
+        name = re.sub(r"(?<=[A-Za-z]{3})\.$", "", m.group(1).strip(" ,"))  # the sentence's stop, not a legal form's
         tail = text[m.end() : m.end() + 80]
         if len(name) >= 4 and not _NOT_AUDITOR.search(tail) and name.lower().strip(".") not in issuer.lower():
             return name
@@ -129,14 +129,22 @@ def concern_passage(text: Column | str) -> Column:
     return _by_value(text, of)
 
 
-def document_concern(text: Column) -> Column:
-    """The going-concern state of a whole document; risk_factor_only where nothing but the risk factors speak of it."""
+def concern_of(passage: Column) -> Column:
+    """The going-concern state that a ``concern_passage`` gives."""
     from tidemark.detect.conclusions import going_concern
 
-    passage = concern_passage(text)
     return F.when(passage == "\u0000risk", "risk_factor_only").otherwise(going_concern(passage))
 
 
+def document_concern(text: Column) -> Column:
+    """The going-concern state of a whole document; risk_factor_only where nothing but the risk factors speak of it."""
+    return concern_of(concern_passage(text))
+
+
+#: Characters of a revenue note at most.
+LONGEST_NOTE = 20_000
+
+
 def revenue_note(text: Column | str) -> Column:
     """The revenue policy note: of the notes under a revenue heading, outside the discussion and the audit report, the one with most marks."""
     from tidemark.detect.conclusions import REVENUE_MARKERS
@@ -149,7 +157,7 @@ def revenue_note(text: Column | str) -> Column:
         for m in re.finditer(r"(?im)^.*revenue\s+(?:from\s+contracts|recognition).*$|^.*disaggregation\s+of\s+revenue.*$", v):
             if not is_heading(m.group()) or any(a <= m.start() < b for a, b in shut):
                 continue
-            body = v[m.end() : m.end() + 20_000]
+            body = v[m.end() : m.end() + LONGEST_NOTE]
             end = re.search(r"(?m)^\s*(?:note\s+)?\d{1,2}\s*[.:\u2013\u2014-]\s+[A-Z]", body)
             body = (body[: end.start()] if end else body).strip()
             got = (sum(bool(k.search(body)) for k in marks), len(body))

@@ -20,7 +20,7 @@ def form_family(form: Column) -> Column:
     f = F.upper(F.trim(F.coalesce(form, F.lit(""))))
     head = F.trim(F.substring_index(f, "/", 1))
     return (
-        F.when(f.startswith("NT"), "NT").when(head.isin(*schema.LETTER_FORMS), "LETTER").when(head.isin("20-F", "40-F"), "20-F").when(head == "", "OTHER").otherwise(head)
+        F.when(f.startswith("NT "), "NT").when(head.isin(*schema.LETTER_FORMS), "LETTER").when(head.isin("20-F", "40-F"), "20-F").when(head == "", "OTHER").otherwise(head)
     )
 
 
@@ -42,8 +42,9 @@ def item_signals(items: Column) -> Column:
 
 
 def sic_division(sic: Column) -> Column:
-    """The division of an industry code; ``SIC n`` in the gaps, null for null."""
-    inside = reduce(lambda w, d: w.when(sic.between(d[0], d[1]), d[2]), schema.SIC_DIVISIONS, F.when(sic.isNull(), F.lit(None).cast("string")))
+    """The label of an industry code: its own where it has one, else its division's, ``SIC n`` in the gaps, empty for null and 0."""
+    named = reduce(lambda w, kv: w.when(sic == kv[0], kv[1]), schema.SIC_LABELS.items(), F.when(sic.isNull() | (sic == 0), ""))
+    inside = reduce(lambda w, d: w.when(sic.between(d[0], d[1]), d[2]), schema.SIC_DIVISIONS, named)
     return inside.otherwise(F.concat(F.lit("SIC "), sic.cast("string")))
 
 

@@ -7,18 +7,33 @@ branch reads its own forms; late notices of one company and day become one event
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import quality, schema
-from tidemark.detect import items
+from tidemark.detect import items, spans
+from tidemark.detect.conclusions import going_concern_headline
 from tidemark.detect.periodic import changes
 from tidemark.functions import scalars
 from tidemark.functions.text import close_quote, mid_sentence, truncate_words
+from tidemark.operators import firms
+from tidemark.operators.views import same_day_notices
 from tidemark.sources.records import enrich
 
-COLUMNS = ("seq", "id", "signal_type", "confidence", "cik", "company", "form", "filed", "accession", "severity", "headline", "quote", "prior_accession", "scan_day")
+COLUMNS = ("seq", "id", "signal_type", "confidence", "cik", "company", "form", "filed", "accession", "severity", "headline", "quote", "prior_accession", "scan_day", "evidence")
+#: What an event tells of how it was found; what does not fit the signal is null.
+EVIDENCE = {
+    "source": "string", "severity": "string", "item_code": "string", "item_title": "string", "direction": "string", "limb": "string", "predecessor_auditor": "string", "predecessor_tier": "string", "successor_auditor": "string",
+    "successor_tier": "string", "tier_downgrade": "boolean", "disagreements_disclosed": "boolean", "successor_named": "boolean", "days_past_due_date": "int", "filings_in_batch": "bigint", "other_forms": "string",
+    "topics": "array<string>", "citations": "array<string>", "prior_state": "string", "current_state": "string", "similarity": "double", "new_standards": "array<string>", "adoption_year": "int", "prior_form": "string", "prior_filed": "string",
+}
+
+
+def evidence(source: str | Column, **told: Column) -> Column:
+    told["source"] = F.lit(source) if isinstance(source, str) else source
+    return F.struct(*[told.get(n, F.lit(None)).cast(k).alias(n) for n, k in EVIDENCE.items()])
 
 
 @dataclass
@@ -39,10 +54,10 @@ def candidates(i: Inputs) -> DataFrame:
     return enrich(routed, i.headers).filter(scalars.is_operating(F.col("sic")))
 
 
-def _event(rows: DataFrame, signal: Column, confidence: str, severity: Column, headline: Column, quote: Column, prior: Column | None = None) -> DataFrame:
+def _event(rows: DataFrame, signal: Column, confidence: str, severity: Column, headline: Column, quote: Column, told: Column, prior: Column | None = None) -> DataFrame:
     return rows.select(
         "seq", scalars.event_id(F.col("accession"), signal).alias("id"), signal.alias("signal_type"), F.lit(confidence).alias("confidence"), "cik", "company", "form", "filed", "accession",
-        severity.alias("severity"), headline.alias("headline"), quote.alias("quote"), (prior if prior is not None else F.lit(None).cast("string")).alias("prior_accession"), "scan_day",
+        severity.alias("severity"), headline.alias("headline"), quote.alias("quote"), (prior if prior is not None else F.lit(None).cast("string")).alias("prior_accession"), "scan_day", told.alias("evidence"),
     )
 
 
@@ -50,10 +65,31 @@ def item_branch(found: DataFrame, documents: DataFrame) -> DataFrame:
     """Auditor changes, non-reliance and officers who leave, from item codes; an amendment that only files a letter gives none."""
     one = found.filter("route = 'event'").withColumn("signal", F.explode(scalars.item_signals(F.col("items")))).join(documents, "accession", "left")
     told = one.filter(~(F.upper("form").endswith("/A") & items.only_the_letter(F.col("text"))))
-    officer = (F.col("signal") != "officer_departure") | items.officer_departure(F.col("text"))
-    grade = F.when(F.col("signal") == "auditor_change", items.auditor_severity(items.auditor_direction(F.col("text")), items.disagreements(F.col("text")), F.lit(None).cast("boolean")))
-    grade = grade.when(F.col("signal") == "restatement", "high").otherwise(items.officer_severity(F.col("text")))
-    return _event(told.filter(F.coalesce(officer, F.lit(False))), F.col("signal"), "confirmed", F.coalesce(grade, F.lit("normal")), F.concat_ws(" ", "company", F.lit("reported:"), F.translate("signal", "_", " ")), truncate_words(F.col("text"), 600))
+    t, signal = F.col("text"), F.col("signal")
+    auditor = signal == "auditor_change"
+    told = told.withColumns({"out": F.nullif(spans.outgoing_firm(F.when(auditor, t)), F.lit("")), "in": F.nullif(spans.incoming_firm(F.when(auditor, t)), F.lit(""))})
+    twice = firms.firm_key(F.col("out")) == firms.firm_key(F.col("in"))  # one firm on both sides was misread: neither is told
+    told = told.withColumns({c: F.when(F.coalesce(~twice, F.lit(True)), F.col(c)) for c in ("out", "in")})
+    tier = lambda c: F.when(F.col(c).isNotNull(), firms.firm_tier(F.col(c)))
+    told = told.withColumns({"direction": F.when(auditor, items.auditor_direction(t)), "quarrel": F.when(signal != "restatement", items.disagreements(t)), "limb": F.when(signal == "restatement", items.non_reliance_limb(t)), "out_tier": tier("out"), "in_tier": tier("in")})
+    told = told.withColumn("downgrade", items.tier_downgrade(F.col("out_tier"), F.col("in_tier")))
+    grade = F.when(auditor, items.auditor_severity(F.col("direction"), F.col("quarrel"), F.col("downgrade"))).when(signal == "restatement", "high").otherwise(items.officer_severity(t))
+    company, firm = F.col("company"), F.coalesce("out", F.lit("its auditor"))
+    line = (
+        F.when(signal == "restatement", F.concat(company, F.when(F.col("limb") == "b", " was told by its auditor not to rely on earlier statements").otherwise(" said earlier statements should not be relied on")))
+        .when(auditor & F.coalesce("quarrel", F.lit(False)), F.concat(company, F.lit(" and "), firm, F.lit(" disagreed")))
+        .when(auditor & F.col("direction").isin("resigned", "withdrawn", "declined"), F.concat(firm, F.lit(" "), F.when(F.col("direction") == "resigned", "resigned as auditor of ").when(F.col("direction") == "declined", "declined to stand again as auditor of ").otherwise("withdrew as auditor of "), company))
+        .when(auditor, F.concat(company, F.when(F.col("direction") == "dismissed", " dismissed ").otherwise(" changed "), firm, F.coalesce(F.concat(F.lit(" for "), F.col("in")), F.lit(""))))
+        .otherwise(F.concat(company, F.lit(" reported that a finance officer leaves"), F.when(F.coalesce(~items.successor_named(t), F.lit(False)), " without a successor").otherwise("")))
+    )
+    code = reduce(lambda w, kv: w.when(signal == kv[1], kv[0]), schema.ITEM_SIGNALS.items(), F.when(F.lit(False), ""))
+    title = reduce(lambda w, kv: w.when(code == kv[0], kv[1]), items.ITEM_TITLES.items(), F.when(F.lit(False), ""))
+    why = evidence(
+        "item code of the report", item_code=code, item_title=title, direction=F.col("direction"), limb=F.col("limb"), predecessor_auditor=F.col("out"), predecessor_tier=F.col("out_tier"), successor_auditor=F.col("in"),
+        successor_tier=F.col("in_tier"), tier_downgrade=F.col("downgrade"), disagreements_disclosed=F.col("quarrel"), successor_named=F.when(signal == "officer_departure", items.successor_named(t)),
+    )
+    leaves = (signal != "officer_departure") | items.officer_departure(t)
+    return _event(told.filter(F.coalesce(leaves, F.lit(False))), signal, "confirmed", F.coalesce(grade, F.lit("normal")), line, truncate_words(t, 600), why)
 
 
 def late_branch(found: DataFrame, documents: DataFrame) -> DataFrame:
@@ -65,9 +101,11 @@ def late_branch(found: DataFrame, documents: DataFrame) -> DataFrame:
     annual = F.upper(F.trim("form")).isin(*schema.ANNUAL_LATE_FORMS)
     reason = items.late_reason(t)
     grade = items.late_severity(reason, days, items.ticked(t, "significant\\s+change"), items.ticked(t, "reports\\s+been\\s+filed"), annual)
-    rows = _event(late, F.lit("late_filing"), "derived", grade, F.concat_ws(" ", "company", F.lit("will file a report late")), close_quote(reason))
-    lead = F.struct(F.when(F.col("severity") == "high", 0).otherwise(1).alias("s"), F.col("form").alias("f"), F.col("seq").alias("q"))
-    return rows.groupBy("cik", "filed").agg(F.min_by(F.struct(*rows.columns), lead).alias("e"), F.count(F.lit(1)).alias("n")).select("e.*").select(*rows.columns)
+    rows = _event(late, F.lit("late_filing"), "derived", grade, F.concat_ws(" ", "company", F.lit("will file a report late")), close_quote(reason), evidence("notice of a late report", severity=grade, days_past_due_date=days))
+    joint = same_day_notices(rows).select("seq", "filings_in_batch", "other_forms", F.col("headline").alias("joint"))
+    told = rows.join(joint, "seq").withColumn("headline", F.col("joint"))
+    with_batch = F.col("evidence").withField("filings_in_batch", F.col("filings_in_batch").cast("bigint")).withField("other_forms", F.col("other_forms"))
+    return told.withColumn("evidence", with_batch).select(*rows.columns)
 
 
 def letter_branch(found: DataFrame, documents: DataFrame) -> DataFrame:
@@ -76,7 +114,7 @@ def letter_branch(found: DataFrame, documents: DataFrame) -> DataFrame:
     staff = F.upper("form").startswith("UPLOAD")
     kept = letters.filter(items.reviews_a_periodic_report(F.col("subject")) & items.admits_letter(F.col("text"), staff))
     topic = F.coalesce(F.get(items.topics(F.col("text")), 0), F.lit("its report"))
-    return _event(kept, F.lit("comment_letter"), "derived", F.lit("normal"), F.concat_ws(" ", F.lit("Staff and"), "company", F.lit("write about"), mid_sentence(topic)), items.first_comment(F.col("text")))
+    return _event(kept, F.lit("comment_letter"), "derived", F.lit("normal"), F.concat_ws(" ", F.lit("Staff and"), "company", F.lit("write about"), mid_sentence(topic)), items.first_comment(F.col("text")), evidence("review letter", topics=items.topics(F.col("text")), citations=items.citations(F.col("text"))))
 
 
 def periodic_branch(found: DataFrame, documents: DataFrame, history: DataFrame) -> DataFrame:
@@ -84,10 +122,18 @@ def periodic_branch(found: DataFrame, documents: DataFrame, history: DataFrame)
     today = found.filter("route = 'periodic'")
     now = today.join(documents, "accession").select("cik", "form", "filed", "accession", "seq", "text")
     mine = history.join(today.select("cik").distinct(), "cik", "left_semi").select(*now.columns)
-    changed = changes(now.unionByName(mine)).drop("cik").join(today, "accession")
-    words = F.concat_ws(" ", "company", F.lit("changed:"), F.translate("signal_type", "_", " "), F.coalesce("current_state", F.lit("")))
+    changed = changes(now.unionByName(mine)).drop("cik").withColumnsRenamed({"quote": "told", "evidence": "found"}).join(today, "accession")
+    signal, e = F.col("signal_type"), F.col("found")
+    words = (
+        F.when(signal == "going_concern", going_concern_headline(F.col("company"), F.col("prior_state"), F.col("current_state")))
+        .when(signal == "material_weakness", F.concat(F.col("company"), F.when(F.col("direction") == "weakened", " reported a material weakness").otherwise(" reported its material weakness remedied")))
+        .when(signal == "policy_change", F.concat(F.col("company"), F.lit(" adopted ASU "), F.array_join(e["adopted"], ", ASU "), F.when(e["long_past"], F.concat(F.lit(", by its words in "), e["adoption_year"].cast("string"))).otherwise("")))
+        .otherwise(F.concat(F.col("company"), F.lit(" rewrote its revenue policy")))
+    )
     grade = F.when(F.col("direction").isin("escalated", "weakened"), "high").otherwise("normal")
-    return _event(changed, F.col("signal_type"), "derived", grade, words, F.lit(None).cast("string"), F.col("prior_accession"))
+    state = F.when(signal.isin("going_concern", "material_weakness"), F.col("current_state"))
+    why = evidence(e["source"], direction=F.col("direction"), prior_state=F.col("prior_state"), current_state=state, similarity=e["similarity"], new_standards=e["new_standards"], adoption_year=e["adoption_year"], prior_form=e["prior_form"], prior_filed=e["prior_filed"])
+    return _event(changed, signal, "derived", grade, words, F.col("told"), why, F.col("prior_accession"))
 
 
 def scan(i: Inputs, log: DataFrame, tombstones: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -43,7 +43,7 @@ def form_routes(spark, sf):
     return _filings(spark, sf).groupBy(scalars.form_route(F.col("form")).alias("route")).agg(F.count(F.lit(1)).alias("filings"), F.count_distinct("accession").alias("accessions"))
 
 
-_DIVISION = "CASE WHEN sic IS NULL THEN NULL " + " ".join(f"WHEN sic BETWEEN {a} AND {b} THEN '{n}'" for a, b, n in schema.SIC_DIVISIONS) + " ELSE 'SIC ' || sic END"
+_DIVISION = "CASE WHEN sic IS NULL OR sic = 0 THEN '' " + " ".join(f"WHEN sic = {c} THEN '{n}'" for c, n in schema.SIC_LABELS.items()) + " " + " ".join(f"WHEN sic BETWEEN {a} AND {b} THEN '{n}'" for a, b, n in schema.SIC_DIVISIONS) + " ELSE 'SIC ' || sic END"
 
 
 @query(f"SELECT sic, {_DIVISION} AS division, count(*) AS filings FROM filings GROUP BY ALL")

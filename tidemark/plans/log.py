@@ -13,7 +13,7 @@ from tidemark.sinks import exists, feed_items, year_index
 from tidemark.sources.records import newest_first
 
 # Parts that several queries share.
-_FAMILY = """CASE WHEN upper(trim(coalesce({c}, ''))) LIKE 'NT%' THEN 'NT'
+_FAMILY = """CASE WHEN upper(trim(coalesce({c}, ''))) LIKE 'NT %' THEN 'NT'
      WHEN trim(split_part(upper(trim(coalesce({c}, ''))), '/', 1)) IN ('UPLOAD', 'CORRESP') THEN 'LETTER'
      WHEN trim(split_part(upper(trim(coalesce({c}, ''))), '/', 1)) IN ('20-F', '40-F') THEN '20-F'
      WHEN trim(split_part(upper(trim(coalesce({c}, ''))), '/', 1)) = '' THEN 'OTHER'

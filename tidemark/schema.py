@@ -33,11 +33,33 @@ COMPARISON_SIGNALS = ("going_concern", "policy_change", "revenue_recognition")
 ITEM_SIGNALS = {"4.01": "auditor_change", "4.02": "restatement", "5.02": "officer_departure"}
 FORM_FAMILIES = ("8-K", "10-K", "10-Q", "20-F", "NT", "LETTER")
 EVENT_FORMS = ("8-K", "8-K/A")
-PERIODIC_FORMS = tuple(f + a for f in ("10-K", "10-KT", "10-Q", "10-QT", "20-F", "40-F") for a in ("", "/A"))
+PERIODIC_FORMS = ("10-K", "10-K/A", "10-KT", "10-KT/A", "10-Q", "10-Q/A", "10-QT", "10-QT/A", "20-F", "20-F/A", "40-F", "40-F/A")
 ANNUAL_LATE_FORMS = ("NT 10-K", "NT 10-K/A", "NT 20-F", "NT 20-F/A")
-LATE_FORMS = (*ANNUAL_LATE_FORMS[:2], "NT 10-Q", "NT 10-Q/A", *ANNUAL_LATE_FORMS[2:], "NT 11-K")
+LATE_FORMS = ("NT 10-K", "NT 10-K/A", "NT 10-Q", "NT 10-Q/A", "NT 20-F", "NT 20-F/A", "NT 11-K")
 LETTER_FORMS = ("UPLOAD", "CORRESP")
 NOT_OPERATING_SIC = (6722, 6726, 6189, 6199, 6770)
+SIC_LABELS = {
+    2834: "Pharmaceutical preparations",
+    2836: "Biological products",
+    2844: "Cosmetics and toiletries",
+    3674: "Semiconductors",
+    3841: "Medical instruments",
+    4813: "Telecommunications",
+    5812: "Restaurants",
+    6021: "National commercial banks",
+    6022: "State commercial banks",
+    6199: "Finance services",
+    6221: "Commodity contracts brokers",
+    6311: "Life insurance",
+    6500: "Real estate",
+    6552: "Land subdividers and developers",
+    6770: "Blank checks",
+    6798: "Real estate investment trusts",
+    7372: "Prepackaged software",
+    7370: "Computer services",
+    7389: "Business services",
+    8731: "Commercial physical and biological research",
+}
 SIC_DIVISIONS = (
     (100, 999, "Agriculture, forestry and fishing"),
     (1000, 1499, "Mining"),
