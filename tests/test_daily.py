@@ -41,3 +41,21 @@ def test_a_day(spark):
     assert by["e1"].evidence.topics == []
     again, _ = daily.scan(daily.Inputs(filings, headers, docs, history, floats), good, stones)
     assert again.collect() == []
+
+
+def test_scanned_from_the_command_line(spark, tmp_path):
+    from tidemark.plans.daily import scan_days
+
+    at = lambda n: str(tmp_path / f"{n}.parquet")
+    day = lambda k: dt.date(2026, 8, 20 + k)
+    filings = [(k, "8-K", "Acme", 1, day(k), f"a{k}", day(k)) for k in (0, 1)] + [(9, "8-K", "Acme", 1, day(1), "a0", day(1))]
+    spark.createDataFrame(filings, "seq long, form string, company string, cik long, filed date, accession string, scan_day date").write.parquet(at("filings"))
+    spark.createDataFrame([(f"a{k}", "<ITEMS>4.02\n") for k in (0, 1)], "accession string, header string").write.parquet(at("headers"))
+    spark.createDataFrame([("a0", "The board concluded so.")], "accession string, text string").write.parquet(at("documents"))
+    spark.createDataFrame([], "cik long, form string, filed date, accession string, seq long, text string").write.parquet(at("history"))
+    spark.createDataFrame([], "cik long, public_float double").write.parquet(at("floats"))
+    spark.createDataFrame([], "event_id string, action string").write.parquet(at("tombstones"))
+    log = str(tmp_path / "log")
+    assert [(str(d), n, h) for d, n, h in scan_days(spark, str(tmp_path), log, days=2)] == [("2026-08-20", 1, 0), ("2026-08-21", 1, 0)]
+    assert [(n, h) for _, n, h in scan_days(spark, str(tmp_path), log, date="2026-08-21")] == [(0, 0)]
+    assert {(r.accession, r.signal_type, r.evidence.limb) for r in spark.read.parquet(log).collect()} == {("a0", "restatement", "a"), ("a1", "restatement", None)}

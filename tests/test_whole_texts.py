@@ -28,11 +28,11 @@ def test_word_ends(spark):
 
 def test_all_quotes(spark, sf):
     want = {r.seq: plain(r.quote) for r in table(spark, sf, "disclosures").filter("quote is not null").select("seq", "quote").collect()}
-    got = {r.seq: r.plain for r in QUERIES["all_quotes_without_figures"](spark, sf).collect()}
+    got = {r.seq: r.plain for r in QUERIES["quotes_without_figures"](spark, sf).collect()}
     assert got == want
 
 
 def test_all_sentences(spark, sf):
     blanks = "[\\t-\\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
     want = {r.doc_id: len([s for s in re.sub(blanks, " ", r.text).strip(" ").split(". ") if s]) for r in table(spark, sf, "documents").filter("text is not null").select("doc_id", "text").collect()}
-    assert {r.doc_id: r.pieces for r in QUERIES["all_sentence_counts"](spark, sf).collect()} == want
+    assert {r.doc_id: r.pieces for r in QUERIES["sentence_counts"](spark, sf).collect()} == want

@@ -1,4 +1,4 @@
-"""python -m tidemark list | run QUERY --data DIR [--out PATH] | explain QUERY --data DIR | append --batch PATH --log PATH [--tombstones PATH]"""
+"""python -m tidemark list | run QUERY --data DIR [--out PATH] | explain QUERY --data DIR | append --batch PATH --log PATH [--tombstones PATH] | scan --data DIR --log PATH (--date DAY | --days N)"""
 
 from __future__ import annotations
 
@@ -27,6 +27,12 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--batch", required=True)
     a.add_argument("--log", required=True)
     a.add_argument("--tombstones")
+    d = sub.add_parser("scan")
+    d.add_argument("--data", required=True)
+    d.add_argument("--log", required=True)
+    when = d.add_mutually_exclusive_group(required=True)
+    when.add_argument("--date")
+    when.add_argument("--days", type=int)
     args = p.parse_args(argv)
     if args.command == "list":
         print("\n".join(sorted(_queries())))
@@ -38,6 +44,12 @@ def main(argv: list[str] | None = None) -> int:
         stones = spark.read.parquet(args.tombstones) if args.tombstones else None
         print(append_events(spark.read.parquet(args.batch), args.log, stones))
         return 0
+    if args.command == "scan":
+        from tidemark.plans.daily import scan_days
+
+        for day, written, held in scan_days(spark, args.data, args.log, args.date, args.days):
+            print(day, written, "written", held, "held")
+        return 0
     df = _queries()[args.query](spark, args.data)
     if args.command == "explain":
         df.explain("formatted")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.detect import conclusions, items
 from tidemark.functions import scalars, text
 from tidemark.operators import series
-from tidemark.plans.registry import query
+from tidemark.plans.registry import plain_sql, query
 from tidemark.session import table
 
 
@@ -50,21 +50,18 @@ def comparable_documents(spark, sf):
     return series.prior_in_series(d, ["cik", "base"], "filed", "doc_id", ["doc_id"]).filter("prior_doc_id is not null").select("doc_id", "prior_doc_id")
 
 
-_MONTHS = "january|february|march|april|may|june|july|august|september|october|november|december"
-# RE2 and Java agree on word ends only in ASCII; other letters count as blanks on both sides here.
-_PLAIN = f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace({{c}}, '[^\\x00-\\x7f]', ' ', 'g')), '\\b\\d[\\d,.]*\\b', ' ', 'g'), '\\b({_MONTHS})\\b', ' ', 'g'), '\\b(first|second|third|fourth)\\s+quarter\\b', ' ', 'g'), '[^a-z ]+', ' ', 'g'), ' +', ' ', 'g')"
 _SHINGLES = "list_distinct(list_transform(range(1, greatest(len({w}) - 4, 0) + 1), lambda i: array_to_string({w}[i:i + 4], ' ')))"
 
 
 @query(_PAIRS + f"""
-, t AS (SELECT doc_id, string_split(trim({_PLAIN.format(c='text')}), ' ') AS w FROM documents WHERE text IS NOT NULL),
+, t AS (SELECT doc_id, string_split(trim({plain_sql('text')}), ' ') AS w FROM documents WHERE text IS NOT NULL),
   s AS (SELECT doc_id, {_SHINGLES.format(w='w')} AS s FROM t),
   x AS (SELECT j.doc_id, j.prior_doc_id, len(a.s) AS na, len(b.s) AS nb, len(list_intersect(a.s, b.s)) AS common FROM j JOIN s a ON a.doc_id = j.doc_id JOIN s b ON b.doc_id = j.prior_doc_id)
 SELECT doc_id, prior_doc_id, CASE WHEN na = 0 OR nb = 0 THEN 1.0::DOUBLE ELSE round(common / (na + nb - common), 4) END AS similarity FROM x
 """)
 def shingle_similarity(spark, sf):
     """How much of its wording each text shares with the comparable one before, figures and dates apart."""
-    runs = text.shingle_hashes(text.normalise_for_diff(F.regexp_replace("text", r"[^\x00-\x7f]", " ")))
+    runs = text.shingle_hashes(text.normalise_for_diff(F.col("text")))
     p = _pairs(spark, sf, own=runs, old=runs)
     return p.select("doc_id", "prior_doc_id", F.round(text.jaccard(F.col("own"), F.col("old")), 4).alias("similarity"))
 
@@ -96,16 +93,8 @@ def document_topics(spark, sf):
     return d.select("doc_id", F.array_join("t", ",").alias("topics"))
 
 
-@query(r"SELECT doc_id, len(list_filter(string_split_regex(trim(regexp_replace(text, '[\s]+', ' ', 'g')), '\. '), lambda s: s <> ''))::INT AS pieces FROM documents WHERE regexp_matches(text, '^[\x00-\x7f]+$')")
-def sentence_counts(spark, sf):
-    """Pieces between full stops (plain ASCII texts, where engines agree on blanks)."""
-    d = _docs(spark, sf).filter(F.col("text").rlike(r"\A[\x00-\x7f]+\z"))
-    plain = F.trim(F.regexp_replace("text", r"[ \t\n\f\r]+", " "))
-    return d.select("doc_id", F.size(F.filter(F.split(plain, r"\. "), lambda s: s != "")).alias("pieces"))
-
-
 @query(r"SELECT doc_id, len(list_filter(string_split_regex(trim(regexp_replace(text, '[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')), '\. '), lambda s: s <> ''))::INT AS pieces FROM documents WHERE text IS NOT NULL")
-def all_sentence_counts(spark, sf):
+def sentence_counts(spark, sf):
     """The same of all texts, blanks of every kind apart."""
     d = _docs(spark, sf).filter("text is not null")
     return d.select("doc_id", F.size(F.filter(F.split(text.collapse(F.col("text")), r"\. "), lambda s: s != "")).alias("pieces"))

@@ -6,10 +6,11 @@ branch reads its own forms; late notices of one company and day become one event
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import quality, schema
@@ -20,8 +21,13 @@ from tidemark.functions import scalars
 from tidemark.functions.text import close_quote, mid_sentence, truncate_words
 from tidemark.operators import firms
 from tidemark.operators.views import same_day_notices
+from tidemark.session import land, table
+from tidemark.sinks import append_events, exists
 from tidemark.sources.records import enrich
 
+#: Periodic reports read for a day at most.
+MOST_PERIODIC = 1_000
+
 COLUMNS = ("seq", "id", "signal_type", "confidence", "cik", "company", "form", "filed", "accession", "severity", "headline", "quote", "prior_accession", "scan_day", "evidence")
 #: What an event tells of how it was found; what does not fit the signal is null.
 EVIDENCE = {
@@ -143,3 +149,27 @@ def scan(i: Inputs, log: DataFrame, tombstones: DataFrame) -> tuple[DataFrame, D
     branches = item_branch(found, docs).unionByName(late_branch(found, docs)).unionByName(letter_branch(found, docs)).unionByName(periodic_branch(found, docs, i.history))
     tagged = branches.join(i.floats.select("cik", "public_float"), "cik", "left").withColumn("size_tier", scalars.size_tier(F.col("public_float"))).select(*COLUMNS, "public_float", "size_tier")
     return quality.screen(tagged, log, tombstones)
+
+
+def scan_days(spark: SparkSession, data: str, log: str, date: str | None = None, days: int | None = None, most: int = MOST_PERIODIC):
+    """(day, rows written, rows held) of one day, or of the newest ``days`` days of the index, oldest first.
+
+    ``data`` holds filings, headers, documents, history, floats and tombstones; a day's periodic reports beyond ``most`` in index order
+    wait. What is held goes beside the log. A day that fails the checks raises and writes nothing.
+    """
+    read = lambda name: table(spark, data, name)
+    filings, stones = read("filings"), read("tombstones")
+    if date is not None:
+        wanted = [dt.date.fromisoformat(date)]
+    else:
+        wanted = sorted(r[0] for r in filings.select("scan_day").filter("scan_day is not null").distinct().orderBy(F.desc("scan_day")).limit(days or 1).collect())
+    for day in wanted:
+        today = filings.filter(F.col("scan_day") == day)
+        periodic = scalars.form_route(F.col("form")) == "periodic"
+        admitted = today.filter(F.coalesce(~periodic, F.lit(True))).unionByName(today.filter(periodic).orderBy("seq").limit(most))
+        known = spark.read.parquet(log).select("id") if exists(spark, log) else spark.createDataFrame([], "id string")
+        good, held = scan(Inputs(admitted, read("headers"), read("documents"), read("history"), read("floats")), known, stones)
+        kept = land(held, "held")
+        if not kept.isEmpty():
+            kept.write.mode("append").parquet(f"{log.rstrip('/')}_held")
+        yield day, append_events(good, log, stones), kept.count()

@@ -158,13 +158,13 @@ def deadline_severity(spark, sf):
     return n.select("seq", due.alias("due"), late.alias("days_late"), grade.alias("severity"), F.coalesce((grade == "normal") & (late <= 3), F.lit(False)).alias("routine"))
 
 
-_LISTED = "form IS NOT NULL AND trim(form) <> '' AND company IS NOT NULL AND trim(company) <> '' AND cik IS NOT NULL AND filed IS NOT NULL AND NOT regexp_matches(company, '\\s{2,}') AND NOT regexp_matches(form, '\\S\\s{2,}\\S')"
+_LISTED = "form IS NOT NULL AND trim(form) <> '' AND company IS NOT NULL AND trim(company) <> '' AND cik IS NOT NULL AND filed IS NOT NULL"
 
 
 @query(f"SELECT seq, trim(form) AS form, trim(company) AS company, cik, filed, accession FROM filings WHERE {_LISTED} UNION ALL SELECT -1, NULL, NULL, NULL, NULL, NULL WHERE false")
 def form_index_scan(spark, sf):
     """The day index written in its fixed-width form and read again."""
-    f = _filings(spark, sf).filter(r"form is not null and trim(form) <> '' and company is not null and trim(company) <> '' and cik is not null and filed is not null").filter(~F.col("company").rlike(r"\s{2,}") & ~F.col("form").rlike(r"\S\s{2,}\S"))
+    f = _filings(spark, sf).filter(r"form is not null and trim(form) <> '' and company is not null and trim(company) <> '' and cik is not null and filed is not null")
     line = F.concat(F.rpad(F.trim("form"), 12, " "), F.lit("  "), F.trim("company"), F.lit("   "), F.col("cik").cast("string"), F.lit("  "), F.date_format("filed", "yyyyMMdd"), F.lit("  edgar/data/"), F.col("cik").cast("string"), F.lit("/"), F.col("accession"), F.lit(".txt"))
     lines = f.select("seq", line.alias("value")).unionByName(spark.createDataFrame([(-1, "Form Type   Company Name   CIK  Date Filed  File Name"), (-1, "-----"), (-1, "no such line")], "seq long, value string"))
     return index.parse_form_index(lines).drop("path")
@@ -178,14 +178,17 @@ def master_index_scan(spark, sf):
     return index.parse_master_index(f.select("seq", line.alias("value"))).drop("path")
 
 
-@query("""
-WITH n AS (SELECT scan_day AS day, count(*) FILTER (seq % 3 > 0) AS f, count(*) FILTER (seq % 3 <> 1) AS m FROM filings WHERE scan_day IS NOT NULL GROUP BY 1)
+_IN_MASTER = "form IS NOT NULL AND trim(form) <> '' AND cik IS NOT NULL AND filed IS NOT NULL AND company IS NOT NULL AND NOT contains(company, '|')"
+
+
+@query(f"""
+WITH n AS (SELECT filed AS day, count(*) FILTER ({_LISTED}) AS f, count(*) FILTER ({_IN_MASTER}) AS m FROM filings WHERE filed IS NOT NULL GROUP BY 1)
 SELECT day, CASE WHEN f >= 40 OR f >= m THEN 'form' ELSE 'master' END AS source, CASE WHEN f >= 40 OR f >= m THEN f ELSE m END AS rows FROM n WHERE f + m > 0
 """)
 def index_choice(spark, sf):
-    """Of two partial sources of a day the fixed-width one if it is long enough, else the longer."""
-    f = _filings(spark, sf).filter("scan_day is not null").select(F.col("scan_day").alias("day"), "seq")
-    chosen = index.choose_source(f.filter("seq % 3 > 0"), f.filter("seq % 3 <> 1"), least=40)
+    """Of a day's two indexes, each written and read again, the fixed-width one if it is long enough, else the longer."""
+    read = lambda q: q(spark, sf).select(F.col("filed").alias("day"), "seq")
+    chosen = index.choose_source(read(form_index_scan), read(master_index_scan), least=40)
     return chosen.groupBy("day", "source").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -199,12 +202,19 @@ def header_scan(spark, sf):
     return h.select("accession", F.array_join(F.array_sort(F.filter("items", lambda i: i != "")), ",").alias("items"), "sic", "period")
 
 
+#: Rows of a block of a history.
+BLOCK = 1_000
+
+
 @query("SELECT cik, accession AS \"accessionNumber\", strftime(filed, '%Y-%m-%d') AS \"filingDate\", form FROM filings WHERE cik IN (SELECT cik FROM filings GROUP BY 1 HAVING count(*) = count(accession) AND count(*) = count(filed) AND count(*) = count(form))")
 def submissions_scan(spark, sf):
-    """Histories as parallel arrays, a block a year, to rows; a company with a ragged block is left out whole."""
+    """Histories as parallel arrays, in blocks of a year and about ``BLOCK`` rows, to rows; a company with a ragged block is left out whole."""
     f = _filings(spark, sf).filter("cik is not null")
     row = F.struct("accession", "filed", "form")
-    blocks = f.groupBy("cik", F.year("filed").alias("y")).agg(F.collect_list(row).alias("r"))
+    f = f.withColumn("y", F.coalesce(F.year("filed"), F.lit(-1)))
+    sizes = f.groupBy("cik", "y").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("of"))
+    placed = f.join(sizes, ["cik", "y"]).withColumn("block", F.pmod(F.xxhash64("seq"), "of"))
+    blocks = placed.groupBy("cik", "y", "block").agg(F.collect_list(row).alias("r"))
     has = lambda c: F.transform(F.filter("r", lambda x: x[c].isNotNull()), lambda x: x[c].cast("string"))
     arrays = blocks.select("cik", has("accession").alias("accessionNumber"), has("filed").alias("filingDate"), has("form").alias("form"))
     whole = arrays.withColumn("accessionNumber", F.col("accessionNumber"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark import quality, schema
 from tidemark.functions import scalars, text
 from tidemark.operators import dedupe, followon, firms, sequences, series, views
-from tidemark.plans.registry import query
+from tidemark.plans.registry import plain_sql, query
 from tidemark.session import table
 from tidemark.sinks import exists, feed_items, year_index
 from tidemark.sources.records import newest_first
@@ -270,9 +270,9 @@ def feed(spark, sf):
     return feed_items(_log(spark, sf))
 
 
-@query("SELECT seq, filed, company FROM disclosures ORDER BY filed DESC NULLS LAST, company DESC NULLS LAST, seq LIMIT 500")
+@query("SELECT seq, filed, company FROM disclosures ORDER BY filed DESC NULLS LAST, company DESC NULLS LAST, seq")
 def log_newest_first(spark, sf):
-    return newest_first(_log(spark, sf), 500).select("seq", "filed", "company")
+    return newest_first(_log(spark, sf)).select("seq", "filed", "company")
 
 
 @query("WITH m AS (SELECT DISTINCT year(filed) AS year, strftime(filed, '%Y-%m') AS m FROM disclosures WHERE filed IS NOT NULL) SELECT year, string_agg(m, ',' ORDER BY m DESC) AS months FROM m GROUP BY 1")
@@ -365,21 +365,11 @@ def evidence_json(spark, sf):
     return back.select("seq", F.col("b.source").alias("source"), F.col("b.days_past_due_date").alias("days"))
 
 
-_MONTHS = "january|february|march|april|may|june|july|august|september|october|november|december"
 
 
-@query(f"""
-SELECT seq, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(quote), '\\b\\d[\\d,.]*\\b', ' ', 'g'), '\\b({_MONTHS})\\b', ' ', 'g'), '\\b(first|second|third|fourth)\\s+quarter\\b', ' ', 'g'), '[^a-z ]+', ' ', 'g'), ' +', ' ', 'g')) AS plain
-FROM disclosures WHERE regexp_matches(quote, '^[\\x00-\\x7f]*$')
-""")
+@query(f"SELECT seq, trim({plain_sql('quote')}) AS plain FROM disclosures WHERE quote IS NOT NULL")
 def quotes_without_figures(spark, sf):
-    """Quotes with all that changes without meaning left out (plain ASCII quotes: engines differ on the word ends of others)."""
-    return _log(spark, sf).filter(F.col("quote").rlike(r"^[\x00-\x7f]*$")).select("seq", text.normalise_for_diff(F.col("quote")).alias("plain"))
-
-
-@query()
-def all_quotes_without_figures(spark, sf):
-    """The same of all quotes, whatever their characters."""
+    """Quotes with all that changes without meaning left out."""
     return _log(spark, sf).filter("quote is not null").select("seq", text.normalise_for_diff(F.col("quote")).alias("plain"))
 
 
@@ -419,6 +409,8 @@ def _check_sql(name: str, worst: str, of: str, bad: str) -> str:
     return f"SELECT '{name}' AS \"check\", count(*) FILTER ({of}) AS rows, count(*) FILTER (({of}) AND ({bad})) AS bad, CASE WHEN count(*) FILTER (({of}) AND ({bad})) > 0 THEN '{worst}' ELSE 'ok' END AS status FROM disclosures"
 
 
+_CONTRADICTS = r"""((signal_type = 'going_concern' AND (regexp_matches(quote, '(?i)\b(?:no|not)\b[^.;]{0,80}\b(?:substantial|grave)\s+doubt\b') OR regexp_matches(quote, '(?i)\bdoubt\b[^.;]{0,120}\b(?:is|was|has been)\s+not\s+raised\b')))
+   OR (signal_type = 'material_weakness' AND regexp_matches(quote, '(?i)\bcontrols?\b[^.;]{0,120}\b(?:was|were|is|are)\s+effective\b') AND NOT regexp_matches(quote, '(?i)\bnot\s+effective\b|material\s+weakness')))"""
 _CMP = "signal_type IN ('going_concern', 'policy_change', 'revenue_recognition')"
 _CODED = "coalesce(confidence = 'confirmed' AND signal_type IN ('auditor_change', 'restatement', 'officer_departure'), false)"
 _NAMED = "coalesce(trim(evidence.{0}) <> '', false)"
@@ -432,6 +424,7 @@ _CHECKS = " UNION ALL ".join(
         _check_sql("comparison looks back", "fail", _CMP + " AND coalesce(evidence.prior_filed, '') <> ''", "coalesce(TRY_CAST(evidence.prior_filed AS DATE) >= filed, false)"),
         _check_sql("quote opens with substance", "warn", "coalesce(trim(quote) <> '', false)", "regexp_matches(quote, '^[\\s,;:.)\\]]')"),
         _check_sql("quote ends cleanly", "warn", "coalesce(trim(quote) <> '', false)", "NOT regexp_matches(regexp_replace(quote, '[\\s\\x{a0}\\x{2000}-\\x{200a}\\x{202f}\\x{3000}]+$', ''), '[.!?;:\"”’)\\]…]$')"),
+        _check_sql("quote contradicts its signal", "fail", "coalesce(trim(quote) <> '', false)", _CONTRADICTS),
         _check_sql("firm names hold letters", "fail", f"{_NAMED.format('predecessor_auditor')} OR {_NAMED.format('successor_auditor')}", " OR ".join(f"({_NAMED.format(f)} AND NOT regexp_matches(evidence.{f}, '\\p{{L}}'))" for f in ("predecessor_auditor", "successor_auditor"))),
     ]
 )
@@ -462,10 +455,7 @@ def hold_fields(spark, sf):
     return h.groupBy("signal_type").agg(F.count(F.lit(1)).alias("held"), F.count_if(blank).alias("incomplete"))
 
 
-@query(r"""
-SELECT seq FROM disclosures WHERE (signal_type = 'going_concern' AND (regexp_matches(quote, '(?i)\b(?:no|not)\b[^.;]{0,80}\b(?:substantial|grave)\s+doubt\b') OR regexp_matches(quote, '(?i)\bdoubt\b[^.;]{0,120}\b(?:is|was|has been)\s+not\s+raised\b')))
-   OR (signal_type = 'material_weakness' AND regexp_matches(quote, '(?i)\bcontrols?\b[^.;]{0,120}\b(?:was|were|is|are)\s+effective\b') AND NOT regexp_matches(quote, '(?i)\bnot\s+effective\b|material\s+weakness'))
-""")
+@query("SELECT seq FROM disclosures WHERE " + _CONTRADICTS)
 def contradictory_quotes(spark, sf):
     """Rows whose own quote says the opposite of their signal."""
     return _log(spark, sf).filter(quality.contradicts(F.col("signal_type"), F.col("quote"))).select("seq")

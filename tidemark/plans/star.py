@@ -16,9 +16,8 @@ _LINE_PAIRS = [("R", "A"), ("A", "R"), ("N", "R"), ("R", "N")]
 
 @query(_pairs_sql("SELECT user_id AS entity, event_type AS kind, ts::DATE AS day FROM events WHERE ts::DATE <= DATE '2024-01-20'", _EVENT_PAIRS, 3))
 def followon_events(spark, sf):
-    e = table(spark, sf, "events").select("user_id", "event_type", F.to_date("ts").alias("day")).filter("day <= date'2024-01-20'")
-    as_of = F.lit(e.agg(F.max("day")).first()[0])
-    return followon.follow_on(e, "user_id", "event_type", "day", _EVENT_PAIRS, 3, as_of)
+    e = table(spark, sf, "events").select("user_id", "event_type", F.to_date("ts").alias("day"))
+    return followon.follow_on(e, "user_id", "event_type", "day", _EVENT_PAIRS, 3, F.lit("2024-01-20").cast("date"))
 
 
 @query(_pairs_sql("SELECT l_suppkey AS entity, l_returnflag AS kind, l_shipdate::DATE AS day FROM lineitem", _LINE_PAIRS, 540))

@@ -39,6 +39,7 @@ def _tests() -> dict[str, tuple[str, Column, Column]]:
         "comparison looks back": (FAIL, compared & (F.coalesce(F.col("evidence.prior_filed"), F.lit("")) != ""), F.coalesce(F.try_to_date("evidence.prior_filed") >= F.col("filed"), F.lit(False))),
         "quote opens with substance": (WARN, quoted, F.col("quote").rlike(r"^[\s,;:.)\]]")),
         "quote ends cleanly": (WARN, quoted, ~strip(F.col("quote")).rlike("[.!?;:\"”’)\\]…]\\z")),
+        "quote contradicts its signal": (FAIL, quoted, contradicts(F.col("signal_type"), F.col("quote"))),
         "firm names hold letters": (FAIL, named("predecessor_auditor") | named("successor_auditor"), not_a_firm("predecessor_auditor") | not_a_firm("successor_auditor")),
     }
 

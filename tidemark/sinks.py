@@ -61,7 +61,13 @@ def save_guarded(result: DataFrame, path: str) -> bool:
     staged = land(result, "guarded")
     if staged.isEmpty() and exists(spark, path) and not spark.read.parquet(path).isEmpty():
         return False
-    staged.write.mode("overwrite").parquet(path)
+    beside = f"{path.rstrip('/')}.next-{uuid.uuid4().hex}"
+    staged.write.parquet(beside)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(at(path), True)
+    if not fs.rename(at(beside), at(path)):
+        raise OSError(f"the new copy stays at {beside}")
     return True
 
 
