@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.detect import conclusions, items
+from tidemark.detect import conclusions, items, spans
 from tidemark.functions import scalars, text
 from tidemark.operators import series
 from tidemark.plans.registry import plain_sql, query
@@ -82,7 +82,7 @@ def html_to_text(spark, sf):
 @query()
 def document_states(spark, sf):
     """What the texts conclude on going concern and control, one look at each text, by form."""
-    d = _docs(spark, sf).select("base_form", conclusions.going_concern(F.col("text")).alias("going_concern"), conclusions.control_state(F.col("text")).alias("control"))
+    d = _docs(spark, sf).select("base_form", spans.document_concern(F.col("text")).alias("going_concern"), conclusions.control_state(F.col("text")).alias("control"))
     return d.groupBy("base_form", "going_concern", "control").agg(F.count(F.lit(1)).alias("documents"))
 
 
@@ -107,3 +107,32 @@ def periodic_changes(spark, sf):
 
     d = _docs(spark, sf).filter("accession is not null and text is not null").select("cik", F.col("base_form").alias("form"), "filed", "accession", F.col("doc_id").alias("seq"), "text")
     return changes(d)
+
+
+_FILLER = "Nothing else of note happened in this period. " * 60
+_GRAVE = "Losses raise substantial doubt about our ability to continue as a going concern. "
+#: (cik, form, filed, accession, what the report says beside its filler)
+_STATED = (
+    (1, "10-K", "2020-01-01", "a", "Our internal control over financial reporting was effective."),
+    (1, "10-K", "2021-01-01", "b", _GRAVE + "Our internal control over financial reporting was not effective. We took up ASU 2024-03. The FASB issued ASU 2025-01, which we will adopt later."),
+    (1, "10-K/A", "2021-03-01", "c", ""),
+    (1, "10-Q", "2021-02-01", "d", _GRAVE),
+    (2, "10-K", "2020-01-01", "e", ""),
+    (2, "10-K", "2021-01-01", "f", "\nItem 1A. Risk Factors\n" + _GRAVE + "\nItem 2. Properties\nNone. The FASB issued ASU 2024-03, which we will adopt later."),
+    (3, "10-Q", "2020-05-01", "g", "Our plans alleviate the substantial doubt about our ability to continue as a going concern."),
+    (3, "10-Q", "2020-08-01", "h", _GRAVE),
+    (3, "10-Q", "2020-11-01", "i", "No conditions or events raise substantial doubt about our ability to continue as a going concern."),
+)
+
+
+@query("""
+SELECT * FROM (VALUES ('b', 'a', 'going_concern', 'none', 'substantial_doubt', 'escalated'), ('b', 'a', 'material_weakness', 'effective', 'material_weakness', 'weakened'), ('b', 'a', 'policy_change', NULL, '2024-03', NULL),
+  ('h', 'g', 'going_concern', 'doubt_alleviated', 'substantial_doubt', 'escalated'), ('i', 'h', 'going_concern', 'substantial_doubt', 'none', 'eased')) v(accession, prior_accession, signal_type, prior_state, current_state, direction)
+""")
+def periodic_changes_stated(spark, sf):
+    """State changes between reports that are written here: adopted standards only, risk factors and amendments give none."""
+    from tidemark.detect.periodic import changes
+
+    docs = spark.createDataFrame([(c, f, d, a, i, _FILLER + t) for i, (c, f, d, a, t) in enumerate(_STATED)], "cik long, form string, filed string, accession string, seq long, text string")
+    found = changes(docs.withColumn("filed", F.col("filed").cast("date")))
+    return found.select("accession", "prior_accession", "signal_type", "prior_state", "current_state", "direction")
