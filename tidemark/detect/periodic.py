@@ -28,7 +28,7 @@ def features(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
     return read.select(
         "cik", base_form(F.col("form")).alias("base"), F.upper(F.trim("form")).endswith("/A").alias("amendment"), F.col("form").alias("form"), "filed", "accession", "seq",
         F.struct(
-            spans.concern_of(F.col("passage")).alias("going_concern"), conclusions.going_concern_quote(F.col("passage")).alias("quote"), conclusions.control_state(t).alias("control"), conclusions.standards_told(t).alias("standards"),
+            spans.concern_of(F.col("passage")).alias("going_concern"), conclusions.going_concern_quote(F.col("passage")).alias("quote"), spans.document_control(t).alias("control"), conclusions.standards_told(t).alias("standards"),
             own.alias("revenue"), text.shingle_hashes(text.normalise_for_diff(own)).alias("runs"), F.col("form").alias("form"), F.col("filed").cast("string").alias("filed"),
         ).alias("has"),
     )

@@ -166,3 +166,28 @@ def revenue_note(text: Column | str) -> Column:
         return best
 
     return _by_value(text, of)
+
+
+_CONTROLS = re.compile(r"(?im)^\W*(?:item\s+\d+[a-c]?\W+)?(?:disclosure\s+)?controls\s+and\s+procedures\W*$")
+_JUDGED = re.compile(r"(?i)internal\s+controls?\s+over\s+financial\s+reporting[^.;]{0,160}?\b(?:in)?effective\b|\bnot\s+effective\b")
+#: Characters of a passage on controls at most.
+LONGEST_CONTROLS = 30_000
+
+
+def controls_in(text: str) -> str:
+    """The last passage under a heading on controls that judges them, to the next item; without such headings the text less its risk factors."""
+    heads = list(_CONTROLS.finditer(text))
+    for m in reversed(heads):
+        scope = text[m.end() : m.end() + LONGEST_CONTROLS]
+        end = re.search(_NEXT_ITEM, scope)
+        scope = scope[: end.start()] if end else scope
+        if _JUDGED.search(scope):
+            return scope
+    return "" if heads else without_risk_factors(text)[0]
+
+
+def document_control(text: Column | str) -> Column:
+    """The internal-control state of a whole document; empty where none is stated."""
+    from tidemark.detect.conclusions import control_state
+
+    return control_state(_by_value(text, controls_in))

@@ -132,6 +132,12 @@ _cases(
     [(_RISKS, "risk_factor_only"), ("We sell soap.", "none"), ("There is much loss. These losses raise substantial doubt about our ability to continue as a going concern.", "substantial_doubt"), ("NOTE 2 — Going Concern\n" + "We concluded that substantial doubt exists. " * 6 + "\n3. Debt\nx", "substantial_doubt"), (None, None)],
     spans.document_concern,
 )
+_GOOD, _BAD = "Our internal control over financial reporting was effective.", "Our internal control over financial reporting was not effective."
+_cases(
+    "document_control_cases",
+    [(f"Item 9A. Controls and Procedures\n{_GOOD}\nItem 10. Directors\nNone.\nItem 9A. Controls and Procedures\n{_BAD}\nItem 10. Directors\n{_GOOD}", "material_weakness"), (f"Controls and Procedures\n{_BAD}\nItem 15. Exhibits\nNone.\nControls and Procedures\nSee above.", "material_weakness"), (f"{_GOOD} Controls and Procedures\nNothing is judged.\n", "effective"), (f"Controls and Procedures\nNothing is judged.\nItem 10. Directors\n{_GOOD}", ""), (f"Item 1A. Risk Factors\n{_BAD}\nItem 2. Properties\nNone.", ""), (_GOOD, "effective"), (None, None)],
+    spans.document_control,
+)
 _POLICY = "We count revenue when a performance obligation is met; the transaction price of contracts with customers is set in advance. " * 4
 _cases("revenue_note_cases", [("2. Revenue Recognition\n" + _POLICY + "\n3. Debt\nNone", _POLICY.strip()), ("Revenue Recognition\nShort.", ""), ("No such note.", "")], spans.revenue_note)
 _cases("excerpt_cases", [("One is here. Two has the word alpha in it.", "One is here. Two has the word alpha in it."), ("nothing", None)], lambda t: spans.around(t, "alpha"))

@@ -82,7 +82,7 @@ def html_to_text(spark, sf):
 @query()
 def document_states(spark, sf):
     """What the texts conclude on going concern and control, one look at each text, by form."""
-    d = _docs(spark, sf).select("base_form", spans.document_concern(F.col("text")).alias("going_concern"), conclusions.control_state(F.col("text")).alias("control"))
+    d = _docs(spark, sf).select("base_form", spans.document_concern(F.col("text")).alias("going_concern"), spans.document_control(F.col("text")).alias("control"))
     return d.groupBy("base_form", "going_concern", "control").agg(F.count(F.lit(1)).alias("documents"))
 
 
